@@ -149,7 +149,8 @@ def validity_intervals(
     )
     following = F.coalesce(F.col("p._next"), F.col("m._later"))
     expiry = F.coalesce(
-        F.date_sub(following, 1).cast("timestamp_ntz"), F.lit(OPEN_END).cast("timestamp_ntz")
+        following.cast("timestamp_ntz") - F.expr("interval 1 day"),
+        F.lit(OPEN_END).cast("timestamp_ntz"),
     )
     return joined.select(
         *[F.col(f"p.{c}").alias(c) for c in prices.columns],
