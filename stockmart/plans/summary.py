@@ -52,7 +52,7 @@ def movements(
     """Inbound and outbound quantities, distinct transaction counts and types per key.
 
     Rows are first combined per key and transaction id, which spreads a hot key over its
-    transactions and turns the three distinct counts into sums of flags.
+    transactions and turns the three distinct counts into sums of flags. Keys must not be NULL.
     """
     inbound = F.col("movement_type").isin(*INBOUND_MOVEMENTS)
     outbound = F.col("movement_type").isin(*OUTBOUND_MOVEMENTS)
