@@ -132,6 +132,21 @@ def _date_key(dim_date: DataFrame, day: dt.date) -> Column:
     return F.lit(rows[0][0] if rows else None).cast("bigint")
 
 
+def _within(
+    fact: DataFrame, first: Period | None, last: Period | None, month_column: str | None
+) -> DataFrame:
+    """Rows from the first to the last period; a stored month column prunes partitions as well."""
+    if first is not None:
+        fact = fact.filter(F.col(DATE) >= F.lit(first.start))
+        if month_column:
+            fact = fact.filter(F.col(month_column) >= first.year * 100 + first.month)
+    if last is not None:
+        fact = fact.filter(F.col(DATE) <= F.lit(last.end))
+        if month_column:
+            fact = fact.filter(F.col(month_column) <= last.year * 100 + last.month)
+    return fact
+
+
 def _levels(base, fact, period, prefix, ties, tables) -> DataFrame:
     find = latest_before if prefix == "bom" else latest_on_or_before
     bound = period.start if prefix == "bom" else period.end
@@ -149,6 +164,7 @@ def build(
     ties: str = "all",
     types: str = "all",
     max_chars: int | None = None,
+    month_column: str | None = None,
 ) -> DataFrame:
     """Summary of one month, keeping the definitions that create odd rows.
 
@@ -158,7 +174,8 @@ def build(
     history nor its other half and leaves two rows, the closing one under the unknown member.
     Use :func:`build_history` for one well-defined row per key.
     """
-    in_period = fact.filter(period.contains(F.col(DATE)))
+    fact = _within(fact, None, period, month_column)
+    in_period = _within(fact, period, None, month_column)
     base = in_period.select(*FACT_KEYS).distinct()
     bom = _levels(base, fact, period, "bom", ties, tables).alias("b")
     eom = _levels(base, fact, period, "eom", ties, tables).alias("e")
@@ -189,6 +206,7 @@ def build_history(
     level: str = "latest",
     types: str = "all",
     max_chars: int | None = None,
+    month_column: str | None = None,
 ) -> DataFrame:
     """Summaries of all months with activity in one pass, one row per month and key.
 
@@ -197,11 +215,12 @@ def build_history(
     months. Keys are checked against the dimensions first and missing ones become the unknown
     member; rows of one date are added up. ``level='running'`` carries the balance since the start
     of time instead of the latest date's quantities. ``first`` and ``last`` limit the months
-    returned; history before ``first`` still feeds the opening levels.
+    returned; history before ``first`` still feeds the opening levels. ``month_column`` names a
+    stored yyyymm partition column of the fact, if it has one.
     """
     if level not in ("latest", "running"):
         raise ValueError("level must be 'latest' or 'running'")
-    upto = fact if last is None else fact.filter(F.col(DATE) <= F.lit(last.end))
+    upto = _within(fact, None, last, month_column)
     days = daily_totals(upto, FACT_KEYS, DATE, LEVELS)
     days = _unknown_for_null(confirm_keys(days, tables), params)
     days = daily_totals(days, KEYS, DATE, LEVELS)
@@ -215,10 +234,9 @@ def build_history(
         months = months.withColumns({f"eom_{m}": qty(F.sum(f"eom_{m}").over(upto_now))
                                      for m in LEVELS})
     months = months.withColumns({f"bom_{m}": F.lag(f"eom_{m}").over(by_month) for m in LEVELS})
-    wanted = upto
     if first is not None:
         months = months.filter(F.col("_month") >= F.lit(first.start))
-        wanted = wanted.filter(F.col(DATE) >= F.lit(first.start))
+    wanted = _within(upto, first, None, month_column)
     wanted = _unknown_for_null(confirm_keys(wanted, tables), params).withColumn(
         "_month", F.trunc(DATE, "month")
     )
