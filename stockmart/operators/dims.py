@@ -36,56 +36,74 @@ class Lookup:
     missing: Column | None = None
 
 
-def lookup(fact: DataFrame, dim: DataFrame, spec: Lookup, na_key: Column) -> DataFrame:
-    out = spec.name or spec.key
-    right = dim.select(
-        *[F.col(c).alias(f"_d_{c}") for c in spec.on],
-        F.col(spec.key).alias("_d__key"),
-        *[F.col(source).alias(name) for name, source in spec.carry.items()],
-    )
-    condition = None
-    for dim_column, fact_column in spec.on.items():
-        test = F.col(fact_column) == F.col(f"_d_{dim_column}")
-        condition = test if condition is None else condition & test
-    joined = fact.join(right, condition, "left")
-    key = F.col("_d__key")
-    if spec.unknown:
-        key = F.coalesce(key, na_key if spec.missing is None else spec.missing)
-    return joined.withColumn(out, key).drop("_d__key", *[f"_d_{c}" for c in spec.on])
-
-
 def resolve_keys(
     fact: DataFrame,
     dims: Mapping[str, DataFrame],
     lookups: Sequence[Lookup],
     params: NaParams,
 ) -> DataFrame:
-    """Apply lookups in order; later ones may join on columns carried by earlier ones."""
-    for spec in lookups:
-        fact = lookup(fact, dims[spec.dim], spec, params.key())
-    return fact
-
+    """Apply lookups in order; later ones may join on columns carried by earlier ones.
 
-def confirm_key(
+    One join per lookup and a single projection at the end.
+    """
+    keys: dict[str, Column] = {}
+    carried: list[str] = []
+    joined = fact
+    for n, spec in enumerate(lookups):
+        right = dims[spec.dim].select(
+            *[F.col(c).alias(f"_d{n}_{c}") for c in spec.on],
+            F.col(spec.key).alias(f"_d{n}"),
+            *[F.col(source).alias(name) for name, source in spec.carry.items()],
+        )
+        matches = [f"{fact_column} = _d{n}_{dim_column}"
+                   for dim_column, fact_column in spec.on.items()]
+        joined = joined.join(right, F.expr(" and ".join(matches)), "left")
+        key = F.col(f"_d{n}")
+        if spec.unknown:
+            key = F.coalesce(key, params.key() if spec.missing is None else spec.missing)
+        keys[spec.name or spec.key] = key
+        carried += spec.carry
+    kept = [c for c in fact.columns if c not in keys and c not in carried]
+    return joined.select(*kept, *carried, *[k.alias(name) for name, k in keys.items()])
+
+
+def confirm_keys(
     fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    carry: Mapping[str, str] | None = None,
-    dim_key: str | None = None,
+    dims: Mapping[str, DataFrame],
+    keys: Mapping[str, str],
+    carry: Mapping[str, Mapping[str, str]] | None = None,
 ) -> DataFrame:
-    """Reverse check: keep a fact key only if the dimension still has it, else NULL."""
-    source = dim_key or key
-    right = dim.select(
-        F.col(source).alias("_d__key"),
-        *[F.col(c).alias(name) for name, c in (carry or {}).items()],
-    )
-    return (
-        fact.join(right, F.col(key) == F.col("_d__key"), "left")
-        .withColumn(key, F.col("_d__key"))
-        .drop("_d__key")
+    """Reverse check: keep a fact key only if its dimension still has it, else NULL.
+
+    ``keys`` maps key columns (named alike in fact and dimension) to dimensions; ``carry`` adds
+    further columns of a dimension, as new name to dimension column.
+    """
+    joined = fact
+    extra: list[str] = []
+    for n, (key, dim) in enumerate(keys.items()):
+        more = (carry or {}).get(dim, {})
+        right = dims[dim].select(
+            F.col(key).alias(f"_c{n}"), *[F.col(c).alias(name) for name, c in more.items()]
+        )
+        joined = joined.join(right, F.expr(f"{key} = _c{n}"), "left")
+        extra += more
+    checked = {key: F.col(f"_c{n}") for n, key in enumerate(keys)}
+    return joined.select(
+        *[checked[c].alias(c) if c in checked else c for c in fact.columns], *extra
     )
 
 
+def constant_key(dim: DataFrame, column: str, value, key: str) -> int | None:
+    """Surrogate key of the one member with a constant code, read on the driver; None if missing.
+
+    A lookup by a constant would be a join without a join key.
+    """
+    rows = dim.filter(F.col(column) == F.lit(value)).select(key).limit(2).collect()
+    if len(rows) > 1:
+        raise ValueError(f"{column} {value} occurs more than once in its dimension")
+    return rows[0][0] if rows else None
+
+
 # Lookups shared by the facts. Column names follow the enriched transaction frames.
 COMPANY = Lookup("dim_company", {"company_code": "company_code"}, "company_key")
 PRODUCT = Lookup(
@@ -132,9 +150,6 @@ DEFAULT_DIMENSION = Lookup(
     "dim_default_dimension", {"default_dimension_id": "default_dimension_id"},
     "default_dimension_key",
 )
-CATEGORY = Lookup(
-    "dim_category_hierarchy", {"category_id": "category_id"}, "category_hierarchy_key"
-)
 LOAD = Lookup("dim_load", {"company_code": "company_code", "load_code": "load_id"}, "load_key")
 
 

@@ -4,12 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEPARATOR = ", "
 
 
+def join_counted(
+    entries: Column, name: str, distinct: bool = False, max_chars: int | None = None
+) -> Column:
+    """Text of an array of (v, n) structs: each value n times (or once), sorted, comma separated.
+
+    An empty array gives NULL. The length follows from the counts, so a list longer than
+    ``max_chars`` is an error before any text is built.
+    """
+    ordered = F.sort_array(entries)
+    if distinct:
+        items = F.transform(ordered, lambda e: e["v"])
+    else:
+        items = F.flatten(
+            F.transform(ordered, lambda e: F.array_repeat(e["v"], e["n"].cast("int")))
+        )
+    text = F.when(F.size(entries) > 0, F.array_join(items, SEPARATOR))
+    if max_chars is None:
+        return text
+    chars = F.aggregate(
+        entries, F.lit(-len(SEPARATOR)).cast("bigint"),
+        lambda total, e: total + (F.length(e["v"]) + len(SEPARATOR))
+        * (F.lit(1) if distinct else e["n"]),
+    )
+    message = F.concat(F.lit(f"{name} needs "), chars.cast("string"),
+                       F.lit(f" characters, {max_chars} allowed"))
+    return F.when(chars > max_chars, F.raise_error(message)).otherwise(text)
+
+
 def sorted_list(
     df: DataFrame,
     keys: Sequence[str],
@@ -22,30 +50,12 @@ def sorted_list(
 
     Occurrences are counted per value first (combined on the map side); only the distinct values
     and their counts of a key meet, so memory follows the number of labels and not of rows. NULLs
-    are skipped. ``distinct`` lists each value once. A list longer than ``max_chars`` is an error.
+    are skipped. ``distinct`` lists each value once.
     """
     counts = df.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.withColumn(
-        "_entry", F.when(F.col(column).isNotNull(), F.struct(F.col(column).alias("v"), "_n"))
+    entry = F.struct(F.col(column).alias("v"), F.col("_n").alias("n"))
+    lists = counts.groupBy(*keys).agg(
+        F.collect_list(F.when(F.col(column).isNotNull(), entry)).alias("_entries")
     )
-    entries = counts.groupBy(*keys).agg(F.sort_array(F.collect_list("_entry")).alias("_entries"))
-    entries = entries.withColumn(
-        "_chars",
-        F.aggregate(
-            "_entries", F.lit(-len(SEPARATOR)).cast("bigint"),
-            lambda total, e: total + (F.length(e["v"]) + len(SEPARATOR))
-            * (F.lit(1) if distinct else e["_n"]),
-        ),
-    )
-    if distinct:
-        items = F.transform("_entries", lambda e: e["v"])
-    else:
-        items = F.flatten(
-            F.transform("_entries", lambda e: F.array_repeat(e["v"], e["_n"].cast("int")))
-        )
-    text = F.when(F.size("_entries") > 0, F.array_join(items, SEPARATOR))
-    if max_chars is not None:
-        message = F.concat(F.lit(f"{name} needs "), F.col("_chars").cast("string"),
-                           F.lit(f" characters, {max_chars} allowed"))
-        text = F.when(F.col("_chars") > max_chars, F.raise_error(message)).otherwise(text)
-    return entries.select(*keys, text.alias(name))
+    text = join_counted(F.col("_entries"), name, distinct, max_chars)
+    return lists.select(*keys, text.alias(name))

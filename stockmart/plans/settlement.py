@@ -13,7 +13,13 @@ from stockmart.functions.status import StatusColumns, is_settled
 from stockmart.operators import dims
 from stockmart.operators.postings import by_role
 from stockmart.params import EnumSet, NaParams
-from stockmart.plans.inventory_value import SETTLEMENT_RECORD, finish, labels, value_lookups
+from stockmart.plans.inventory_value import (
+    SETTLEMENT_RECORD,
+    category_key,
+    finish,
+    labels,
+    value_lookups,
+)
 from stockmart.sources.tables import incremental, live
 
 
@@ -104,7 +110,7 @@ def build(
         "company_code": F.col("data_area_id"),
         "posting_type": F.lit("Adjustment"),
         "voucher_number": F.col("settlement_voucher"),
-        "category_id": constant(0, "bigint"),
+        "category_hierarchy_key": category_key(tables, params),
     })
     lookups = value_lookups(params, "settlement_date", "voucher_number")
     keyed = dims.resolve_keys(df, tables, lookups, params)

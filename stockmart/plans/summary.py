@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from stockmart import schemas
 from stockmart.functions import kpi
 from stockmart.functions.period import Period, month_start
-from stockmart.functions.scalar import qty, typed_null
+from stockmart.functions.scalar import constant, qty, typed_null
 from stockmart.functions.status import INBOUND_MOVEMENTS, OUTBOUND_MOVEMENTS
+from stockmart.operators import dims
 from stockmart.operators.asof import daily_totals, latest_before, latest_on_or_before
-from stockmart.operators.dims import confirm_key
-from stockmart.operators.text_agg import sorted_list
+from stockmart.operators.text_agg import join_counted
 from stockmart.params import NaParams
 
 DATE = "transaction_date"
@@ -36,10 +36,8 @@ _DIMENSIONS = {
 
 def confirm_keys(df: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Check all fact keys against their dimensions and add the size key; a miss becomes NULL."""
-    for key, dim in _DIMENSIONS.items():
-        carry = {SIZE_KEY: SIZE_KEY} if key == "inventory_dimension_key" else None
-        df = confirm_key(df, tables[dim], key, carry)
-    return df
+    carry = {"dim_inventory_dimension": {SIZE_KEY: SIZE_KEY}}
+    return dims.confirm_keys(df, tables, _DIMENSIONS, carry)
 
 
 def _unknown_for_null(df: DataFrame, params: NaParams) -> DataFrame:
@@ -51,36 +49,45 @@ def movements(
 ) -> DataFrame:
     """Inbound and outbound quantities, distinct transaction counts and types per key.
 
-    Rows are first combined per key and transaction id, which spreads a hot key over its
-    transactions and turns the three distinct counts into sums of flags. Keys must not be NULL.
+    Every row is combined per key twice in one shuffle: under its transaction id, which spreads a
+    hot key over its transactions and turns three distinct counts into sums of flags, and under
+    its transaction type, where only counts of the few types remain.
     """
-    inbound = F.col("movement_type").isin(*INBOUND_MOVEMENTS)
-    outbound = F.col("movement_type").isin(*OUTBOUND_MOVEMENTS)
+    if types not in ("all", "distinct"):
+        raise ValueError("types must be 'all' or 'distinct'")
     zero = F.lit(0).cast("decimal(18,4)")
     moved = F.coalesce(F.col("physical_stock_quantity"), zero)
-    ident = F.col("inventory_transaction_id")
-
-    def flag(test: Column) -> Column:
-        return F.max(F.when(test & ident.isNotNull(), 1).otherwise(0))
-
-    per_transaction = fact.groupBy(*keys, ident).agg(
-        F.sum(F.when(inbound, moved).otherwise(zero)).alias("_in"),
-        F.sum(F.when(outbound, F.abs(moved)).otherwise(zero)).alias("_out"),
-        flag(inbound).alias("_is_in"), flag(outbound).alias("_is_out"),
-        flag(F.lit(True)).alias("_is_any"),
+    rows = fact.select(
+        *keys, moved.alias("_moved"),
+        F.col("movement_type").isin(*INBOUND_MOVEMENTS).alias("_is_in"),
+        F.col("movement_type").isin(*OUTBOUND_MOVEMENTS).alias("_is_out"),
+        F.explode(F.array(
+            F.struct(F.lit(True).alias("id"), F.col("inventory_transaction_id").alias("v")),
+            F.struct(F.lit(False).alias("id"), F.col("transaction_type").alias("v")),
+        )).alias("_by"),
     )
-    totals = per_transaction.groupBy(*keys).agg(
-        qty(F.sum("_in")).alias("total_inbound_quantity"),
-        qty(F.sum("_out")).alias("total_outbound_quantity"),
-        F.sum("_is_in").alias("inbound_transaction_count"),
-        F.sum("_is_out").alias("outbound_transaction_count"),
-        F.sum("_is_any").alias("total_transaction_count"),
+    inbound, outbound = F.col("_is_in"), F.col("_is_out")
+    combined = rows.groupBy(*keys, F.col("_by.id").alias("_id"), F.col("_by.v").alias("_v")).agg(
+        F.sum(F.when(inbound, F.col("_moved")).otherwise(zero)).alias("_in"),
+        F.sum(F.when(outbound, F.abs("_moved")).otherwise(zero)).alias("_out"),
+        F.max(F.when(inbound, 1).otherwise(0)).alias("_has_in"),
+        F.max(F.when(outbound, 1).otherwise(0)).alias("_has_out"),
+        F.count(F.lit(1)).alias("_n"),
     )
-    if types not in ("all", "distinct"):
-        raise ValueError("types must be 'all' or 'distinct'")
-    lists = sorted_list(fact, keys, "transaction_type", "transaction_types",
-                        distinct=types == "distinct", max_chars=max_chars)
-    return totals.join(lists, list(keys), "inner")
+    is_id, named = F.col("_id"), F.col("_v").isNotNull()
+    entry = F.struct(F.col("_v").alias("v"), F.col("_n").alias("n"))
+    totals = combined.groupBy(*keys).agg(
+        qty(F.sum(F.when(is_id, F.col("_in")))).alias("total_inbound_quantity"),
+        qty(F.sum(F.when(is_id, F.col("_out")))).alias("total_outbound_quantity"),
+        F.sum(F.when(is_id & named, F.col("_has_in")).otherwise(0))
+        .alias("inbound_transaction_count"),
+        F.sum(F.when(is_id & named, F.col("_has_out")).otherwise(0))
+        .alias("outbound_transaction_count"),
+        F.count_if(is_id & named).alias("total_transaction_count"),
+        F.collect_list(F.when(~is_id & named, entry)).alias("_types"),
+    )
+    text = join_counted(F.col("_types"), "transaction_types", types == "distinct", max_chars)
+    return totals.withColumn("transaction_types", text).drop("_types")
 
 
 MOVED = ("total_inbound_quantity", "total_outbound_quantity", "inbound_transaction_count",
@@ -124,14 +131,6 @@ def with_indicators(df: DataFrame, params: NaParams, now: dt.datetime) -> DataFr
     return schemas.conform(df, schemas.MOVEMENT_SUMMARY, skip=("summary_key",))
 
 
-def _date_key(dim_date: DataFrame, day: dt.date) -> Column:
-    """Calendar id of one day; the calendar has at most one row for it."""
-    rows = dim_date.filter(F.col("calendar_date") == F.lit(day)).select("date_id").limit(2).collect()
-    if len(rows) > 1:
-        raise ValueError(f"the calendar lists {day} more than once")
-    return F.lit(rows[0][0] if rows else None).cast("bigint")
-
-
 def _within(
     fact: DataFrame, first: Period | None, last: Period | None, month_column: str | None
 ) -> DataFrame:
@@ -191,7 +190,9 @@ def build(
     found = F.expr(" and ".join(f"_m_{k} = _{k}" for k in KEYS))
     df = both.join(moved, found, "left").withColumns({
         "year": F.lit(period.year), "month": F.lit(period.month),
-        "date_key": _date_key(tables["dim_date"], period.end),
+        "date_key": constant(
+            dims.constant_key(tables["dim_date"], "calendar_date", period.end, "date_id"), "bigint"
+        ),
     })
     return with_indicators(df, params, now)
 

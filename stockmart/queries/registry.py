@@ -7,6 +7,7 @@ functions underneath return decimals, dates and timestamps.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,17 +23,21 @@ from stockmart.params import EnumSet, NaParams
 from stockmart.plans import (
     enrich,
     inventory_value,
+    jobs,
     sales_cost,
     settlement,
     stock_level,
     summary,
 )
+from stockmart.session import session_dir
+from stockmart.sources.facts import MONTH
 from stockmart.sources.star_views import star_tables
 from stockmart.sources.tables import TableSet, incremental
 
 PERIOD = Period(1998, 6)
 NOW = dt.datetime(2001, 8, 15)
 WAREHOUSE_KEYS = ("company_key", "warehouse_key")
+_loaded: set[str] = set()
 
 
 def wire(df: DataFrame) -> DataFrame:
@@ -55,6 +60,8 @@ class Context:
     """Tables, parameters and enums of one run."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
         self.tables: TableSet = star_tables(spark, sf_dir)
         self.params: NaParams = self.tables.na_params()
         self.enums: EnumSet = self.tables.enums(*enrich.ENUM_NAMES)
@@ -64,11 +71,24 @@ class Context:
         return enrich.stock_transactions(self.tables, self.enums, **options)
 
     def stock_fact(self) -> DataFrame:
-        # The generated postings have one row per voucher, so their joins can be left out.
-        return stock_level.build(self.tables, self.params, self.enums, postings_unique=True)
+        """The stored stock level fact, loaded by the first query of a session that reads it.
+
+        As-of, summary and validation queries read the fact several times; they run on the stored
+        table like reports do, and not on several copies of the load.
+        """
+        name = hashlib.md5(self.sf_dir.encode()).hexdigest()[:12]
+        fact = jobs.stock_level_table(self.spark, f"{session_dir(self.spark)}/{name}/stock_level")
+        if fact.path not in _loaded:
+            # The generated postings have one row per voucher, so their joins can be left out.
+            rows = stock_level.build(self.tables, self.params, self.enums, postings_unique=True)
+            fact.replace(rows)
+            _loaded.add(fact.path)
+        return fact.read()
 
     def history_summary(self, **options) -> DataFrame:
-        return summary.build_history(self.stock_fact(), self.tables, self.params, NOW, **options)
+        return summary.build_history(
+            self.stock_fact(), self.tables, self.params, NOW, month_column=MONTH, **options
+        )
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -391,7 +411,8 @@ def monthly_summary_running(c: Context) -> DataFrame:
 @query
 def monthly_summary_period(c: Context) -> DataFrame:
     return _without_audit(
-        summary.build(c.stock_fact(), c.tables, c.params, PERIOD, NOW, ties="all")
+        summary.build(c.stock_fact(), c.tables, c.params, PERIOD, NOW, ties="all",
+                      month_column=MONTH)
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings the library expects from any cluster it runs on. Spark decides on broadcasts by
@@ -13,6 +15,10 @@ RECOMMENDED_CONF = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
+    # The JVM never compiles methods above 8000 bytes; wide projections run split up instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Building a plan records a call site per column otherwise, which doubles the time it takes.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -42,3 +48,18 @@ def work_dir(spark: SparkSession, default: str) -> str:
     used; callers pass a folder next to the table they write, which is shared storage as well.
     """
     return spark.conf.get("spark.checkpoint.dir", None) or default
+
+
+def session_dir(spark: SparkSession) -> str:
+    """Shared folder for tables that live as long as the session.
+
+    Where the cluster names no folder, only a local session may fall back to a temporary one.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return f"{named}/stockmart-{spark.sparkContext.applicationId}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    made = tempfile.mkdtemp(prefix="stockmart-")
+    spark.conf.set("spark.checkpoint.dir", made)
+    return f"{made}/stockmart-{spark.sparkContext.applicationId}"

@@ -69,6 +69,13 @@ class FactTable:
             *self.partition_columns
         ).parquet(self.path)
 
+    def replace(self, rows: DataFrame) -> None:
+        """Write the whole table anew, without surrogate keys; for facts that are rebuilt."""
+        full = empty(self.spark, self.schema).unionByName(rows, allowMissingColumns=True)
+        self._placed(full).hint("rebalance", *self.partition_columns).write.mode(
+            "overwrite"
+        ).partitionBy(*self.partition_columns).parquet(self.path)
+
     def stored_schema(self) -> T.StructType:
         derived = [T.StructField(c, T.IntegerType()) for c in self.partition_by]
         return T.StructType([*self.schema.fields, *derived])

@@ -7,7 +7,6 @@ The checks use the same text for their inputs, so that they compare operators an
 
 from __future__ import annotations
 
-import datetime as dt
 import string
 
 from pyspark.sql import DataFrame, SparkSession
@@ -275,32 +274,52 @@ def base_tables_of(view: str) -> list[str]:
     return sorted(fields & set(BASE_TABLES))
 
 
-def star_view(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
+# The tables that grow with the scale factor, and a column that spreads their rows evenly.
+_SPREAD_BY = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+
+
+def open_base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A generated table; one that is kept in fewer files than cores is spread over the cores.
+
+    A single file with a single row group would otherwise be read and joined by a single task. A
+    table in many files is scanned as it is.
+    """
+    df = read_table(spark, sf_dir, name)
+    column = _SPREAD_BY.get(name)
+    if column and len(df.inputFiles()) < spark.sparkContext.defaultParallelism:
+        return df.repartition(column)
+    return df
+
+
+def star_view(spark: SparkSession, base: TableSet, view: str) -> DataFrame:
     names = base_tables_of(view)
     text = VIEWS[view].format(**_SPARK_SPELLING, **{n: "{" + n + "}" for n in names})
-    return spark.sql(text, **{n: read_table(spark, sf_dir, n) for n in names})
+    return spark.sql(text, **{n: base[n] for n in names})
 
 
 def enum_frame(spark: SparkSession) -> DataFrame:
-    rows = [(e, i, n, n) for e, names in ENUMS.items() for i, n in enumerate(names)]
-    return spark.createDataFrame(
-        rows, "enum_name string, value_id int, value_name string, value_label string"
+    rows = ", ".join(
+        f"('{e}', {i}, '{n}', '{n}')" for e, names in ENUMS.items() for i, n in enumerate(names)
+    )
+    return spark.sql(
+        f"select * from values {rows} as t(enum_name, value_id, value_name, value_label)"
     )
 
 
 def params_frame(spark: SparkSession, params: NaParams | None = None) -> DataFrame:
-    p = params or NaParams(na_datetime=dt.datetime(1900, 1, 1))
-    return spark.createDataFrame(
-        [(p.na_string, p.na_key, p.na_number, p.na_datetime, p.maximum_date)],
-        "na_string string, na_key int, na_number int, na_datetime timestamp_ntz, "
-        "maximum_date timestamp_ntz",
+    p = params or NaParams()
+    return spark.sql(
+        f"select '{p.na_string}' as na_string, {p.na_key} as na_key, {p.na_number} as na_number, "
+        f"timestamp_ntz '{p.na_datetime}' as na_datetime, "
+        f"timestamp_ntz '{p.maximum_date}' as maximum_date"
     )
 
 
 def star_tables(spark: SparkSession, sf_dir: str) -> TableSet:
     """All domain tables over one folder of generated tables."""
-    openers = {v: (lambda v=v: star_view(spark, sf_dir, v)) for v in VIEWS}
-    openers.update({b: (lambda b=b: read_table(spark, sf_dir, b)) for b in BASE_TABLES})
+    base = TableSet({b: (lambda b=b: open_base(spark, sf_dir, b)) for b in BASE_TABLES})
+    openers = {v: (lambda v=v: star_view(spark, base, v)) for v in VIEWS}
+    openers.update({b: (lambda b=b: base[b]) for b in BASE_TABLES})
     openers["enum_values"] = lambda: enum_frame(spark)
     openers["etl_params"] = lambda: params_frame(spark)
     return TableSet(openers)

@@ -22,11 +22,11 @@ def test_lookup_unknown_member_null_and_fan_out(spark, params):
     dim = spark.createDataFrame([("a", 10), ("c", 30), ("c", 31), (None, 99)],
                                 "dim_code string, dim_key long")
     spec = dims.Lookup("dim", {"dim_code": "code"}, "dim_key")
-    got = tuples(dims.lookup(fact, dim, spec, params.key()), "id", "dim_key")
+    got = tuples(dims.resolve_keys(fact, {"dim": dim}, [spec], params), "id", "dim_key")
     assert got == [(1, 10), (2, -1), (3, -1), (4, 30), (4, 31)]
     keep_null = dims.Lookup("dim", {"dim_code": "code"}, "dim_key", unknown=False)
-    got = dict(tuples(dims.lookup(fact, dim, keep_null, params.key()).filter("id < 4"),
-                      "id", "dim_key"))
+    out = dims.resolve_keys(fact, {"dim": dim}, [keep_null], params).filter("id < 4")
+    got = dict(tuples(out, "id", "dim_key"))
     assert got == {1: 10, 2: None, 3: None}
 
 
@@ -44,7 +44,7 @@ def test_snowflake_lookup_uses_carried_code(spark, params):
 def test_confirm_key_turns_missing_keys_into_null(spark):
     fact = spark.createDataFrame([(1, 5), (2, 6), (3, None)], "id int, k long")
     dim = spark.createDataFrame([(5, 50)], "k long, size long")
-    out = dims.confirm_key(fact, dim, "k", {"size_key": "size"})
+    out = dims.confirm_keys(fact, {"dim": dim}, {"k": "dim"}, {"dim": {"size_key": "size"}})
     assert tuples(out, "id", "k", "size_key") == [(1, 5, 50), (2, None, None), (3, None, None)]
 
 
