@@ -15,8 +15,6 @@ RECOMMENDED_CONF = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
-    # The JVM never compiles methods above 8000 bytes; wide projections run split up instead.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Building a plan records a call site per column otherwise, which doubles the time it takes.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
