@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +32,11 @@ def blank_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
+def moment(value: dt.datetime) -> Column:
+    """Literal without time zone, whatever zones the session and the driver run in."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def qty(value: Column) -> Column:
     """Quantity and amount type of the facts."""
     return value.cast(QTY)

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockmart.functions.scalar import qty
+from stockmart.functions.scalar import moment, qty
 
 
 def daily_totals(
@@ -150,7 +150,7 @@ def validity_intervals(
     following = F.coalesce(F.col("p._next"), F.col("m._later"))
     expiry = F.coalesce(
         following.cast("timestamp_ntz") - F.expr("interval 1 day"),
-        F.lit(OPEN_END).cast("timestamp_ntz"),
+        moment(OPEN_END),
     )
     return joined.select(
         *[F.col(f"p.{c}").alias(c) for c in prices.columns],

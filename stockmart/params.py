@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockmart.functions.scalar import moment
+
 MAX_ENUM_VALUES = 10_000
 
 
@@ -42,7 +44,7 @@ class NaParams:
         return F.lit(self.na_string)
 
     def datetime(self) -> Column:
-        return F.lit(self.na_datetime).cast("timestamp_ntz")
+        return moment(self.na_datetime)
 
 
 class EnumSet:

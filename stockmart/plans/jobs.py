@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from stockmart import schemas
 from stockmart.functions.period import Period
+from stockmart.functions.scalar import moment
 from stockmart.operators import archive, merge
 from stockmart.plans import (
     enrich,
@@ -53,10 +54,6 @@ def _orphan_rules(source: DataFrame, surrogate: str) -> dict:
     }
 
 
-def _moment(now: dt.datetime):
-    return F.lit(now).cast("timestamp_ntz")
-
-
 def load_stock_levels(
     tables: TableSet,
     fact: FactTable,
@@ -68,7 +65,7 @@ def load_stock_levels(
     """Stock level fact: every matched row is rewritten with the source values."""
     params, enums = tables.na_params(), tables.enums(*enrich.ENUM_NAMES)
     source = stock_level.build(tables, params, enums, execution_id, incremental, postings_unique)
-    stamp = {"ea_process_datetime": _moment(now)}
+    stamp = {"ea_process_datetime": moment(now)}
     return fact.merge(
         source, ["record_id"], on_update=stamp, on_insert=stamp,
         **_orphan_rules(tables["invent_trans"], "stock_level_key"),
@@ -87,7 +84,7 @@ def load_inventory_value(
     source = inventory_value.build(tables, params, enums, execution_id, incremental)
     return fact.merge(
         source, ["record_type", "record_id"], compare=schemas.VALUE_COMPARED,
-        on_update={"ea_process_datetime": _moment(now), "ea_is_deleted": F.lit(False)},
+        on_update={"ea_process_datetime": moment(now), "ea_is_deleted": F.lit(False)},
         **_orphan_rules(tables["invent_trans"], "inventory_value_key"),
     )
 
@@ -105,7 +102,7 @@ def refresh_sales_cost(
     costs = sales_cost.build(tables, enums, execution_id, incremental, **options)
     return sales_orders.merge(
         costs, ["company_code", "inventory_transaction_id"], compare=schemas.SALES_COMPARED,
-        on_update={"ea_process_datetime": _moment(now), "ea_is_deleted": F.lit(False)},
+        on_update={"ea_process_datetime": moment(now), "ea_is_deleted": F.lit(False)},
         insert=False,
     )
 
@@ -136,7 +133,7 @@ def load_settlements(
     source = settlement.build(tables, params, enums, execution_id, incremental, unique_masters)
     return fact.merge(
         source, ["record_id"], compare=schemas.SETTLEMENT_COMPARED,
-        on_update={"ea_process_datetime": _moment(now), "ea_is_deleted": F.lit(False)},
+        on_update={"ea_process_datetime": moment(now), "ea_is_deleted": F.lit(False)},
         **_orphan_rules(tables["invent_settlement"], "inventory_settlement_key"),
     )
 
@@ -174,7 +171,7 @@ def build_monthly_summary(
         source = summary.build(fact.read(), tables, params, period, now, ties=ties, **common)
     result = target.merge(
         source, list(schemas.SUMMARY_KEYS), update_columns=_SUMMARY_UPDATED,
-        on_update={"ea_last_update_datetime": _moment(now)},
+        on_update={"ea_last_update_datetime": moment(now)},
     )
     log.info("summary %04d-%02d: %d rows processed", period.year, period.month, result.rows)
     return result

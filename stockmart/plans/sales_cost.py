@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockmart import schemas
-from stockmart.functions.scalar import blank_to_null, quotient
+from stockmart.functions.scalar import blank_to_null, moment, quotient
 from stockmart.operators.asof import valid_at, validity_intervals
 from stockmart.operators.merge import update_only
 from stockmart.params import EnumSet
@@ -35,7 +35,7 @@ def transaction_totals(trans: DataFrame) -> DataFrame:
     """Sums per inventory transaction id and company."""
     reserved = F.col("status_issue") == RESERVED_ISSUE_ID
     zero = F.lit(0).cast("decimal(18,4)")
-    no_date = F.lit(NO_DATE).cast("timestamp_ntz")
+    no_date = moment(NO_DATE)
     return trans.groupBy("invent_trans_id", "data_area_id").agg(
         (-F.sum("cost_amount_posted")).alias("posted"),
         F.sum("cost_amount_physical").alias("physical"),
@@ -98,7 +98,7 @@ def build(
          "data_area_id": "data_area_id"},
         "created_datetime", {"list_price": "price"}, half_open=half_open,
     )
-    no_date = F.lit(NO_DATE).cast("timestamp_ntz")
+    no_date = moment(NO_DATE)
     out = df.select(
         F.col("data_area_id").alias("company_code"),
         F.col("invent_trans_id").alias("inventory_transaction_id"),

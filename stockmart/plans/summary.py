@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stockmart import schemas
 from stockmart.functions import kpi
 from stockmart.functions.period import Period, month_start
-from stockmart.functions.scalar import constant, qty, typed_null
+from stockmart.functions.scalar import constant, moment, qty, typed_null
 from stockmart.functions.status import INBOUND_MOVEMENTS, OUTBOUND_MOVEMENTS
 from stockmart.operators import dims
 from stockmart.operators.asof import daily_totals, latest_before, latest_on_or_before
@@ -109,7 +109,7 @@ def with_indicators(df: DataFrame, params: NaParams, now: dt.datetime) -> DataFr
     inbound, outbound = F.col("total_inbound_quantity"), F.col("total_outbound_quantity")
     average = kpi.average_level(bom, eom)
     end = F.last_day(F.col("period_start_date"))
-    stamp = F.lit(now).cast("timestamp_ntz")
+    stamp = moment(now)
     df = df.withColumns({
         "period_end_date": end,
         "net_movement_quantity": kpi.net_movement(inbound, outbound),

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from stockmart.functions.measures import STOCK_MEASURES, stock_level_sums, value_buckets
 from stockmart.functions.period import Period
+from stockmart.functions.scalar import moment
 from stockmart.functions.status import StatusColumns, movement_type
 from stockmart.operators import archive, asof, dims, merge, quality
 from stockmart.operators.text_agg import sorted_list
@@ -263,11 +264,11 @@ def _merge_sides(c: Context) -> tuple[DataFrame, DataFrame]:
     """A fact loaded up to 1999 in which returns had not been booked, and all lines since 1997."""
     rows = c.tables["invent_trans"].select("rec_id", "date_physical", *COMPARED, "invoice_returned")
     returned = F.col("invoice_returned") == 1
-    target = rows.filter(F.col("date_physical") < F.lit(dt.datetime(2000, 1, 1))).withColumns({
+    target = rows.filter(F.col("date_physical") < moment(dt.datetime(2000, 1, 1))).withColumns({
         "qty": F.when(returned, F.lit(0)).otherwise(F.col("qty")).cast("decimal(18,4)"),
         "loads": F.lit(1),
     })
-    source = rows.filter(F.col("date_physical") >= F.lit(dt.datetime(1997, 1, 1)))
+    source = rows.filter(F.col("date_physical") >= moment(dt.datetime(1997, 1, 1)))
     columns = ["rec_id", *COMPARED]
     return target.select(*columns, "loads"), source.select(*columns)
 
@@ -369,7 +370,7 @@ def price_at_order(c: Context) -> DataFrame:
 @query
 def sales_cost_refresh(c: Context) -> DataFrame:
     costs = sales_cost.build(c.tables, c.enums)
-    out = sales_cost.refresh(c.tables["fact_sales_orders"], costs, F.lit(NOW))
+    out = sales_cost.refresh(c.tables["fact_sales_orders"], costs, moment(NOW))
     return out.withColumnRenamed(merge.ACTION, "action")
 
 
