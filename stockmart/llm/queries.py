@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockmart.llm import decontaminate, exact_dedup, url_filter
+from stockmart.llm import decontaminate, exact_dedup, packing, token_counts, token_files, url_filter
+from stockmart.llm.common import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -21,6 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.token_counts(table(spark, sf_dir, "documents"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
 @query
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -31,11 +38,23 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path)
+    return token_files.verify_tokens(spark, path)
+
+
 @query
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages")).drop("score")
