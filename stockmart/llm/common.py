@@ -55,6 +55,14 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.struct(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("digest"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased and nothing else; plain ASCII takes the short way."""
     plain = F.octet_length(text) == F.length(text)

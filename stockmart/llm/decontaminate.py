@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockmart.llm.common import lower_ascii, row_key, stored, text_of
+from stockmart.llm.common import lower_ascii, row_key, stored, text_of, unused
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
@@ -214,5 +214,6 @@ def drop_contaminated(
     items = item_words(benchmark)
     index = build_index(docs, items, text_col, id_col)
     hits = find_hits(docs, find_phrases(index, items, window), text_col, id_col, window)
-    bad = hits.select(F.col("doc").alias("hit_doc")).distinct()
-    return docs.join(bad, row_key(id_col, text_col) == F.col("hit_doc"), "left_anti")
+    hit = unused(docs, "hit")
+    bad = hits.select(F.col("doc").alias(hit)).distinct()
+    return docs.join(bad, row_key(id_col, text_col) == F.col(hit), "left_anti")
