@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockmart.llm import decontaminate, exact_dedup, packing, simhash, token_counts, token_files, url_filter
+from stockmart.llm import decontaminate, exact_dedup, packing, simhash, substring_dedup, token_counts, token_files, url_filter
 from stockmart.llm.common import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "token-files")

@@ -41,6 +41,25 @@ from documents window same as (partition by coalesce(text, ''))
 """
 
 
+ORACLE["op6_substring_dedup"] = r"""
+with docs as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+places as (
+    select doc_id, s, words[s : s + 19] as win
+    from (select doc_id, words, unnest(range(1, len(words) - 18)) as s from docs where len(words) >= 20)),
+ranked as (
+    select doc_id, s, row_number() over (partition by md5(win::varchar), win order by doc_id, s) as k from places),
+gone as (
+    select distinct doc_id, unnest(range(s, s + 20)) as at from ranked where k > 1),
+words as (select doc_id, unnest(words) as word, generate_subscripts(words, 1) as at from docs),
+kept as (
+    select w.doc_id, count(*) as n, string_agg(word, ' ' order by w.at) as text
+    from words w anti join gone g on g.doc_id = w.doc_id and g.at = w.at group by w.doc_id)
+select d.doc_id, len(d.words)::bigint as n_words, (len(d.words) - coalesce(k.n, 0))::bigint as n_removed,
+    sha256(coalesce(k.text, '')) as kept_sha256
+from docs d left join kept k using (doc_id)
+"""
+
+
 def _level(k: int) -> str:
     """Counts and probabilities of the grams of k + 1 characters."""
     base = "1.0 / 256" if k == 0 else "below.p_{x}"
