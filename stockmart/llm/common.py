@@ -63,7 +63,8 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def lower_ascii(text: Column) -> Column:
-    """A-Z lower-cased and nothing else; plain ASCII takes the short way."""
-    plain = F.octet_length(text) == F.length(text)
-    return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
+def lower_ascii(word: Column) -> Column:
+    """A-Z lower-cased and nothing else. Most words need nothing, and plain ASCII the short way."""
+    plain = F.octet_length(word) == F.length(word)
+    full = F.translate(word, UPPER, UPPER.lower())
+    return F.when(F.lower(word) == word, word).otherwise(F.when(plain, F.lower(word)).otherwise(full))

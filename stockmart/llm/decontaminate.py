@@ -14,12 +14,17 @@ from pyspark.sql import functions as F
 
 from stockmart.llm.common import lower_ascii, row_key, stored, text_of, unused
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Words before A-Z are lower-cased: A-Z belong to them.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
 
 
+def raw_words(text_col: str) -> Column:
+    return F.regexp_extract_all(text_of(text_col), F.lit(WORD), F.lit(0))
+
+
 def words_of(text_col: str) -> Column:
-    return F.regexp_extract_all(lower_ascii(text_of(text_col)), F.lit(WORD), F.lit(0))
+    return F.transform(raw_words(text_col), lower_ascii)
 
 
 def item_words(items: DataFrame, text_col: str = "text", item_col: str = "item_id") -> DataFrame:
@@ -45,9 +50,9 @@ def build_index(
     terms = item_terms(items).select("term").distinct().withColumn("known", F.lit(True))
     places = docs.select(
         row_key(id_col, text_col).alias("doc"),
-        F.posexplode(F.concat(words_of(text_col), F.array(F.lit(None).cast("string"))))
-        .alias("pos", "term"),
-    )
+        F.posexplode(F.concat(raw_words(text_col), F.array(F.lit(None).cast("string"))))
+        .alias("pos", "word"),
+    ).select("doc", "pos", lower_ascii(F.col("word")).alias("term"))
     postings = (
         places.join(terms, "term", "left")
         .where(F.col("term").isNull() | F.col("known"))
@@ -80,9 +85,13 @@ def rare_places(index: DataFrame, items: DataFrame, window: int = WINDOW) -> Dat
 
 def find_phrases(index: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Alignments (doc, item, words, shift) where the shifted lists of rare terms meet."""
-    places = rare_places(index, items, window)
+    places = stored(rare_places(index, items, window), "rare-places")
+    rare = places.select("term").distinct()
     return (
         index.where("term is not null")
+        # Spark sends the rare terms to all tasks where they are few enough; then only their
+        # postings are dealt out.
+        .join(rare, "term", "left_semi")
         .join(places, "term")
         .select("doc", "item", "words", "need", "place", (F.col("pos") - F.col("place")).alias("shift"))
         .groupBy("doc", "item", "words", "need", "shift")
@@ -130,7 +139,12 @@ def find_hits(
     )
     texts = docs.select(row_key(id_col, text_col).alias("doc"), text_of(text_col).alias("text"))
     # A repeated row has the same hits, so one of each is enough.
-    rows = texts.join(aligned, "doc").withColumn("doc_words", words_of("text"))
+    rows = texts.join(aligned, "doc").select(
+        "doc", "aligned",
+        # As an exploded row the words are made once; as a mere column they would be inlined into
+        # the comparison of every single place.
+        F.explode(F.array(words_of("text"))).alias("doc_words"),
+    )
     spans = F.flatten(F.transform("aligned", lambda a: _spans(a, F.col("doc_words"), window)))
     return rows.select("doc", F.array_sort(spans).alias("spans")).where(F.size("spans") > 0)
 
