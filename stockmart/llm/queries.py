@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockmart.llm import decontaminate, exact_dedup, packing, simhash, substring_dedup, token_counts, token_files, url_filter
+from stockmart.llm import (
+    decontaminate,
+    exact_dedup,
+    packing,
+    quality,
+    simhash,
+    substring_dedup,
+    token_counts,
+    token_files,
+    toxicity,
+    url_filter,
+)
 from stockmart.llm.common import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +69,13 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scores = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scores.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 @query
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "token-files")
@@ -65,6 +83,13 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.verify_tokens(spark, path)
 
 
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scores = quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    return scores.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 @query
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages")).drop("score")
