@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 6 << 20
 
 
 class WordCache:
@@ -22,7 +22,7 @@ class WordCache:
     words stay. Forgetting a word costs time only.
     """
 
-    def __init__(self, compute: Callable[[list[str]], list], limit: int = 150_000):
+    def __init__(self, compute: Callable[[list[str]], list], limit: int = 300_000):
         self.compute, self.limit = compute, limit
         self.young: dict = {}
         self.old: dict = {}
