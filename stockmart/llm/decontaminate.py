@@ -28,16 +28,17 @@ def words_of(text_col: str) -> Column:
 
 
 def item_words(items: DataFrame, text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """item (as a string) and its words; rows that repeat an item id with another text are items of that id."""
-    return (
-        items.select(F.col(item_col).cast("string").alias("item"), words_of(text_col).alias("words"))
-        .where(F.size("words") > 0)
-        .distinct()
-    )
+    """key, item (as a string) and its words; rows that repeat an id with another text are items too.
+
+    Keys stand for items while lists are intersected. If two items ever shared one, both would be
+    compared with the texts afterwards, so nothing would be lost or made up.
+    """
+    named = items.select(F.col(item_col).cast("string").alias("item"), words_of(text_col).alias("words"))
+    return named.where(F.size("words") > 0).distinct().withColumn("key", F.xxhash64("item", "words"))
 
 
 def item_terms(items: DataFrame) -> DataFrame:
-    return items.select("item", "words", F.posexplode("words").alias("place", "term"))
+    return items.select("key", F.size("words").alias("size"), F.posexplode("words").alias("place", "term"))
 
 
 def build_index(
@@ -68,17 +69,17 @@ def rare_places(index: DataFrame, items: DataFrame, window: int = WINDOW) -> Dat
     item is one word. Windows with a term that the index lacks can't occur and are left out.
     """
     frequency = index.where("term is not null").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    size = F.size("words")
+    size = F.col("size")
     places = item_terms(items).join(frequency, "term", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     first = F.greatest(F.lit(0), F.col("place") - window + 1)
     last = F.greatest(F.lit(0), F.least(F.col("place"), size - window))
     in_windows = places.withColumn("start", F.explode(F.sequence(first, last)))
-    by_window = Window.partitionBy("item", "words", "start")
+    by_window = Window.partitionBy("key", "start")
     return (
         in_windows.withColumn("least", F.min("n").over(by_window))
         .withColumn("rank", F.row_number().over(by_window.orderBy("n", "place")))
         .where("least > 0 and rank <= 2")
-        .select("item", "words", "place", "term", F.least(F.lit(2), size).alias("need"))
+        .select("key", "place", "term", F.least(F.lit(2), size).alias("need"))
         .distinct()
     )
 
@@ -93,10 +94,11 @@ def find_phrases(index: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         # postings are dealt out.
         .join(rare, "term", "left_semi")
         .join(places, "term")
-        .select("doc", "item", "words", "need", "place", (F.col("pos") - F.col("place")).alias("shift"))
-        .groupBy("doc", "item", "words", "need", "shift")
+        .select("doc", "key", "need", (F.col("pos") - F.col("place")).alias("shift"))
+        .groupBy("doc", "key", "need", "shift")
         .agg(F.count(F.lit(1)).alias("met"))
         .where("met >= need")
+        .join(items, "key")
         .select("doc", "item", "words", "shift")
     )
 
@@ -202,20 +204,21 @@ def near_hits(
     neighbours are parted. A zone matches where ``share`` of the item's distinct places are met
     inside it. The search starts from alignments of rare terms, as for phrases.
     """
-    places = rare_places(index, items, window).select("item", "words", "place", "term")
+    places = rare_places(index, items, window).select("key", "place", "term")
     shift = F.col("pos") - F.col("place")
     zone = F.explode(F.array(F.floor(shift / (2 * slack)), F.floor((shift + slack) / (2 * slack)) + 0.5))
     near = lambda rows: (
-        index.where("term is not null").join(rows, "term").select("doc", "item", "words", "place", zone.alias("zone"))
+        index.where("term is not null").join(rows, "term").select("doc", "key", "place", zone.alias("zone"))
     )
-    started = near(places).groupBy("doc", "item", "words", "zone").agg(
+    started = near(places).groupBy("doc", "key", "zone").agg(
         F.countDistinct("place").alias("rare")
     ).where("rare >= 2").drop("rare")
     return (
         near(item_terms(items))
-        .join(started, ["doc", "item", "words", "zone"], "left_semi")
-        .groupBy("doc", "item", "words", "zone")
+        .join(started, ["doc", "key", "zone"], "left_semi")
+        .groupBy("doc", "key", "zone")
         .agg(F.countDistinct("place").alias("met"))
+        .join(items, "key")
         .where(F.col("met") >= share * F.size("words"))
         .select("doc", "item", "zone", "met")
     )
