@@ -38,7 +38,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     nothing with it.
     """
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -5,10 +5,14 @@ it; consecutive windows with their minimiser at the same place form a super-k-me
 have equal minimisers, so they meet in the minimiser's bucket, where sorting finds every window's
 first place exactly, by its text.
 
-Only super-k-mers whose minimiser occurs again anywhere are packed and sent. A packed string that
-occurs many times is combined before its bucket: its first place stands for all, and at the other
-places every window is a repeat. A minimiser with very many super-k-mers is split: there each
-window travels alone, in a bucket of its own text.
+Only super-k-mers whose minimiser occurs again are packed and sent. Which minimisers those are is
+counted first, and kept in a bit filter of a fixed size: a bit that stands for several minimisers
+lets some strings through that no other meets, and holds none back. With very many repeated
+minimisers the filter lets more through, at worst everything; results do not depend on it.
+
+A packed string that occurs many times is combined before its bucket: its first place stands for
+all, and at the other places every window is a repeat. A minimiser with very many super-k-mers is
+split: there each window travels alone, in a bucket of its own text.
 """
 
 from __future__ import annotations
@@ -27,9 +31,11 @@ from stockmart.llm.common import stored, text_of
 from stockmart.llm.words import Words, slices, texts_of
 
 WINDOW = 20
-PIECE = 5
+PIECE = 8
 #: Super-k-mers of one minimiser from which on its windows travel alone.
 CROWD = 5_000
+#: Bits of the filter, and the parts in which tasks make it. The driver holds all bits, 32 MB.
+FILTER_BITS, FILTER_PARTS = 1 << 28, 256
 
 
 def _words(texts: pa.Array) -> Words:
@@ -89,67 +95,93 @@ def _keyed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
 DOC = "doc struct<id: bigint, digest: int>"
 
 
-def scan(rows: DataFrame, window: int, piece: int) -> DataFrame:
-    """Per row: doc, n_words, whole_sha256 (of all words), and ``kmers`` (start, n, minimiser)."""
+def minimisers(rows: DataFrame, window: int, piece: int) -> DataFrame:
+    """One row per super-k-mer: ``least``, its minimiser."""
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                texts = texts_of(part, "text")
-                words = _words(texts)
-                owner, start, n, least = super_kmers(words, window, piece)
-                ends = np.searchsorted(owner, np.arange(part.num_rows + 1)).astype(np.int32)
-                kmers = pa.StructArray.from_arrays(
-                    [pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(least)],
-                    ["start", "n", "least"],
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc"),
-                        pa.array(np.diff(words.bounds)),
-                        pa.array([_digest(t.encode().split()) for t in texts.to_pylist()]),
-                        pa.ListArray.from_arrays(pa.array(ends), kmers),
-                    ],
-                    ["doc", "n_words", "whole_sha256", "kmers"],
-                )
+                least = super_kmers(_words(texts_of(part, "text")), window, piece)[3]
+                yield pa.RecordBatch.from_arrays([pa.array(least)], ["least"])
+
+    return rows.select("text").mapInArrow(scanned, "least long")
+
 
-    kind = f"{DOC}, n_words long, whole_sha256 string, kmers array<struct<start: int, n: int, least: bigint>>"
-    return rows.mapInArrow(scanned, kind)
+def _bit(least: np.ndarray, bits: int) -> np.ndarray:
+    return least & (bits - 1)
 
 
-def pack(candidates: DataFrame, window: int) -> DataFrame:
-    """The super-k-mers of each text's ``kmers`` as packed strings with their bucket."""
+def bit_filter(least: DataFrame, bits: int = FILTER_BITS, parts: int = FILTER_PARTS) -> np.ndarray:
+    """Both numbers are powers of two. A filter of ``bits`` bits with those of ``least`` set, as bytes; each part is made by a task."""
+    size = bits // parts
+
+    def made(rows: pd.DataFrame) -> pd.DataFrame:
+        flags = np.zeros(size, bool)
+        flags[rows["bit"].to_numpy() % size] = True
+        return pd.DataFrame({"part": rows["bit"][:1] // size, "bytes": [np.packbits(flags).tobytes()]})
+
+    found = least.select(F.col("least").bitwiseAND(F.lit(bits - 1)).alias("bit")).distinct()
+    segments = found.groupBy(F.floor(F.col("bit") / size)).applyInPandas(made, "part long, bytes binary").collect()
+    out = np.zeros(bits // 8, np.uint8)
+    for row in segments:
+        out[row["part"] * size // 8 : (row["part"] + 1) * size // 8] = np.frombuffer(row["bytes"], np.uint8)
+    return out
+
+
+def holds(filter_bytes: np.ndarray, least: np.ndarray) -> np.ndarray:
+    bit = _bit(least, 8 * len(filter_bytes))
+    return (filter_bytes[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 > 0
+
+
+def pack(rows: DataFrame, again: np.ndarray, crowded: np.ndarray, window: int, piece: int) -> DataFrame:
+    """The super-k-mers that may meet an equal one, as packed strings with their bucket.
+
+    ``again`` and ``crowded`` are bit filters of minimisers that occur more than once, and very
+    often. Both look at the minimiser only, so equal windows are treated alike.
+    """
+    context = rows.sparkSession.sparkContext
+    sent = context.broadcast((again, crowded))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
+            for part in slices(batch, "text", 4 << 20):
+                texts = texts_of(part, "text")
+                owner, first, windows, least = super_kmers(_words(texts), window, piece)
+                may = holds(sent.value[0], least)
+                owner, first, windows, least = owner[may], first[may], windows[may], least[may]
+                alone = holds(sent.value[1], least)
                 which, bucket, text, start, count = [], [], [], [], []
-                for i, (t, kmers) in enumerate(zip(part.column("text").to_pylist(), part.column("kmers").to_pylist())):
-                    words = t.encode().split()
-                    for k in kmers:
-                        alone = k["crowded"]
-                        size = 1 if alone else k["n"]
-                        for at in range(k["start"], k["start"] + k["n"], size):
-                            string = b" ".join(words[at : at + size + window - 1])
-                            which.append(i)
-                            text.append(string)
-                            bucket.append(k["least"])
-                            start.append(at)
-                            count.append(size)
-                            if alone:
-                                bucket[-1] = int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "big", signed=True)
+                words, of = [], -1
+                for i, s, n, key, single in zip(
+                    owner.tolist(), first.tolist(), windows.tolist(), least.tolist(), alone.tolist()
+                ):
+                    if i != of:
+                        words, of = texts[i].as_py().encode().split(), i
+                    size = 1 if single else n
+                    for at in range(s, s + n, size):
+                        string = b" ".join(words[at : at + size + window - 1])
+                        text.append(string)
+                        which.append(i)
+                        start.append(at)
+                        count.append(size)
+                        bucket.append(_hash(string) if single else key)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc").take(pa.array(which, pa.int64())),
                         pa.array(bucket, pa.int64()),
+                        pa.array([hashlib.blake2b(t, digest_size=16).digest() for t in text], pa.binary()),
                         pa.array(text, pa.binary()).cast(pa.string()),
                         pa.array(start, pa.int32()),
                         pa.array(count, pa.int32()),
                     ],
-                    ["doc", "bucket", "string", "start", "n"],
+                    ["doc", "bucket", "mark", "string", "start", "n"],
                 )
 
-    return candidates.mapInArrow(packed, f"{DOC}, bucket long, string string, start int, n int")
+    return rows.mapInArrow(packed, f"{DOC}, bucket long, mark binary, string string, start int, n int")
+
+
+def _hash(string: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "big", signed=True)
 
 
 def repeats_in(strings: list[tuple[tuple, bytes]], window: int) -> list[tuple]:
@@ -208,63 +240,70 @@ def first_repeats(firsts: DataFrame, window: int) -> DataFrame:
 
 
 def kept_words(texts: DataFrame, window: int) -> DataFrame:
-    """doc, n_removed, kept_sha256 and kept text for rows with ``spans`` of repeated windows."""
+    """doc_id, n_words, n_removed, kept_sha256 and kept text of rows with ``spans`` of repeats."""
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            removed, digests, left = [], [], []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-                words = text.encode().split()
+            for part in slices(batch, "text"):
+                yield cut(part)
+
+    def cut(part: pa.RecordBatch) -> pa.RecordBatch:
+        total, removed, digests, left = [], [], [], []
+        for text, spans in zip(part.column("text").to_pylist(), part.column("spans").to_pylist()):
+            words = text.encode().split()
+            total.append(len(words))
+            if spans:
                 edges = np.zeros(len(words) + 1, np.int32)
                 for s in spans:
                     edges[s["start"]] += 1
                     edges[s["start"] + s["n"] + window - 1] -= 1
-                gone = np.cumsum(edges[:-1]) > 0
-                stay = [words[i] for i in np.flatnonzero(~gone).tolist()]
-                removed.append(int(gone.sum()))
-                digests.append(_digest(stay))
-                left.append(b" ".join(stay).decode())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(removed, pa.int64()), pa.array(digests, pa.string()), pa.array(left, pa.string())],
-                ["doc", "n_removed", "kept_sha256", "kept"],
-            )
+                words = [words[i] for i in np.flatnonzero(np.cumsum(edges[:-1]) == 0).tolist()]
+            removed.append(total[-1] - len(words))
+            digests.append(_digest(words))
+            left.append(b" ".join(words).decode())
+        return pa.RecordBatch.from_arrays(
+            [
+                part.column("doc_id"),
+                pa.array(total, pa.int64()),
+                pa.array(removed, pa.int64()),
+                pa.array(digests, pa.string()),
+                pa.array(left, pa.string()),
+            ],
+            ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"],
+        )
 
-    return texts.mapInArrow(kept, f"{DOC}, n_removed long, kept_sha256 string, kept string")
+    return texts.select("doc_id", "text", "spans").mapInArrow(
+        kept, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
+    )
 
 
-def repeated_windows(
-    docs: DataFrame,
-    text_col: str = "text",
-    id_col: str = "doc_id",
-    window: int = WINDOW,
-    piece: int = PIECE,
-    crowd: int = CROWD,
-) -> tuple[DataFrame, DataFrame]:
-    """Scanned rows, and the texts with ``spans`` of windows that begin earlier elsewhere."""
-    rows = _keyed(docs, text_col, id_col)
-    scanned = stored(scan(rows, window, piece), "super-k-mers")
-    kmers = scanned.select("doc", F.explode("kmers").alias("k")).select("doc", "k.*")
-    again = kmers.groupBy("least").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
-    per_doc = (
-        kmers.join(again.select("least", (F.col("times") > crowd).alias("crowded")), "least")
-        .groupBy("doc")
-        .agg(F.collect_set(F.struct("start", "n", "least", "crowded")).alias("kmers"))
+def repeated_windows(rows: DataFrame, window: int, piece: int, crowd: int) -> DataFrame:
+    """doc and its ``spans`` (start, n) of windows that begin earlier elsewhere."""
+    times = stored(
+        minimisers(rows, window, piece).groupBy("least").agg(F.count(F.lit(1)).alias("times")).where("times > 1"),
+        "repeated-minimisers",
     )
-    texts = stored(rows.join(per_doc, "doc").dropDuplicates(["doc"]), "candidate-texts")
-    strings = stored(pack(texts, window), "packed-strings")
+    again = bit_filter(times.select("least"))
+    crowded = bit_filter(times.where(F.col("times") > crowd).select("least"), FILTER_BITS >> 6)
+    strings = stored(pack(rows, again, crowded, window, piece), "packed-strings")
     firsts = stored(
-        strings.groupBy("bucket", "string").agg(F.min(F.struct("doc", "start")).alias("first"), F.count(F.lit(1)).alias("times")),
+        strings.groupBy("bucket", "mark").agg(
+            F.min(F.struct("doc", "start")).alias("first"),
+            F.first("string").alias("string"),
+            F.count(F.lit(1)).alias("times"),
+        ),
         "first-places",
     )
     later = (
-        strings.join(firsts.where("times > 1").select("bucket", "string", "first"), ["bucket", "string"])
+        strings.select("bucket", "mark", "doc", "start", "n")
+        .join(firsts.where("times > 1").select("bucket", "mark", "first"), ["bucket", "mark"])
         .where(F.struct("doc", "start") != F.col("first"))
         .select("doc", "start", "n")
     )
-    spans = later.unionByName(first_repeats(firsts, window)).groupBy("doc").agg(
-        F.collect_list(F.struct("start", "n")).alias("spans")
+    # A row given twice has its spans twice, which changes nothing.
+    return later.unionByName(first_repeats(firsts, window)).groupBy("doc").agg(
+        F.collect_set(F.struct("start", "n")).alias("spans")
     )
-    return scanned, texts.select("doc", "text").join(spans, "doc")
 
 
 def substring_dedup(
@@ -275,7 +314,7 @@ def substring_dedup(
     piece: int = PIECE,
     crowd: int = CROWD,
 ) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 of each row; ``kept`` is the text where words went.
+    """doc_id, n_words, n_removed, kept_sha256 and the kept words as a text of each row.
 
     Earlier means a smaller id, then, in one document, an earlier start; null ids come before all
     others. Rows that share an id but not their text are documents of their own, ordered by a hash
@@ -283,12 +322,7 @@ def substring_dedup(
     once. A null text has no words; texts shorter than a window lose none. An empty table gives no
     rows; other columns are ignored.
     """
-    scanned, repeated = repeated_windows(docs, text_col, id_col, window, piece, crowd)
-    changed = kept_words(repeated, window)
-    return scanned.select("doc", "n_words", "whole_sha256").join(changed, "doc", "left").select(
-        F.col("doc.id").alias("doc_id"),
-        "n_words",
-        F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
-        F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"),
-        "kept",
-    )
+    rows = _keyed(docs, text_col, id_col)
+    spans = stored(repeated_windows(rows, window, piece, crowd), "repeated-spans")
+    found = rows.join(spans, "doc", "left").select(F.col("doc.id").alias("doc_id"), "text", "spans")
+    return kept_words(found, window)
