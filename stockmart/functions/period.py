@@ -31,17 +31,10 @@ class Period:
     def end(self) -> dt.date:
         return dt.date(self.year, self.month, self.days)
 
-    @property
-    def previous(self) -> Period:
-        return Period.containing(self.start - dt.timedelta(days=1))
-
     def contains(self, date: Column) -> Column:
         """First to last day, both at midnight: a later hour on the last day falls outside."""
         return date.between(F.lit(self.start), F.lit(self.end))
 
-    def is_current(self, now: dt.datetime) -> bool:
-        return (now.year, now.month) == (self.year, self.month)
-
 
 def month_start(year: Column, month: Column) -> Column:
     return F.make_date(year, month, F.lit(1))

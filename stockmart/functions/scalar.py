@@ -11,14 +11,6 @@ from pyspark.sql import types as T
 QTY = T.DecimalType(18, 4)
 
 
-def or_default(value: Column, default, data_type: str | T.DataType | None = None) -> Column:
-    """``value`` or a default, in the type of ``value``."""
-    fallback = default if isinstance(default, Column) else F.lit(default)
-    if data_type is not None:
-        fallback = fallback.cast(data_type)
-    return F.coalesce(value, fallback)
-
-
 def typed_null(data_type: str | T.DataType) -> Column:
     """A NULL column with a real type, so that no void type reaches a table."""
     return F.lit(None).cast(data_type)

@@ -98,11 +98,11 @@ def transaction_type(category: Column) -> Column:
     return F.coalesce(F.get(labels, position), F.lit(UNKNOWN_TYPE))
 
 
-def transaction_status(status: StatusColumns, width: int = 50) -> Column:
+def transaction_status(status: StatusColumns) -> Column:
     """Label of the issue status when there is one, else of the receipt status, else NULL."""
     enums = status.enums
     has_issue = status.issue != F.lit(enums.id(ISSUE, "None"))
     has_receipt = status.receipt != F.lit(enums.id(RECEIPT, "None"))
-    return F.when(has_issue, enums.label(ISSUE, status.issue, width)).when(
-        has_receipt, enums.label(RECEIPT, status.receipt, width)
+    return F.when(has_issue, enums.label(ISSUE, status.issue)).when(
+        has_receipt, enums.label(RECEIPT, status.receipt)
     )

@@ -106,19 +106,6 @@ def running_level(
     return days.select(*keys, date, *[qty(F.sum(m).over(over)).alias(m) for m in measures])
 
 
-def balance_at(
-    history: DataFrame,
-    keys: Sequence[str],
-    date: str,
-    measures: Sequence[str],
-    bound: dt.date | Column,
-    inclusive: bool = True,
-) -> DataFrame:
-    """Balance since the start of time at one moment; an aggregate, no window."""
-    past = history.filter(_before(date, bound, inclusive))
-    return past.groupBy(*keys).agg(*[qty(F.sum(m)).alias(m) for m in measures])
-
-
 OPEN_END = dt.datetime(9999, 12, 31)
 
 

@@ -133,12 +133,9 @@ def assert_unique(source: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateKeyError(f"merge source is not unique on {list(keys)}: {shown}")
 
 
-def _surviving(target: DataFrame, source: DataFrame, key: str, source_key: str,
-               surrogate: str, alive: Column) -> DataFrame:
-    ids = source.filter(alive).select(F.col(source_key).alias("_alive_id")).distinct()
-    joined = target.join(ids, F.col(key) == F.col("_alive_id"), "left")
-    removable = F.coalesce(F.col(surrogate) > 0, F.lit(False))
-    return joined.withColumn("_orphan", removable & F.col("_alive_id").isNull()).drop("_alive_id")
+def _alive_ids(source: DataFrame, source_key: str, alive: Column | None) -> DataFrame:
+    test = F.col("data_area_id").isNotNull() if alive is None else alive
+    return source.filter(test).select(F.col(source_key).alias("_alive_id"))
 
 
 def delete_orphans(
@@ -154,9 +151,9 @@ def delete_orphans(
     A source row without a company counts as gone. Rows with a surrogate key of 0 or less (the
     unknown members) always stay.
     """
-    test = F.col("data_area_id").isNotNull() if alive is None else alive
-    flagged = _surviving(target, source, key, source_key, surrogate, test)
-    return flagged.filter(~F.col("_orphan")).drop("_orphan")
+    ids = _alive_ids(source, source_key, alive)
+    found = ids.where(F.col("_alive_id") == F.col(key).outer()).exists()
+    return target.where(~F.coalesce(F.col(surrogate) > 0, F.lit(False)) | found)
 
 
 def orphans(
@@ -168,9 +165,8 @@ def orphans(
     alive: Column | None = None,
 ) -> DataFrame:
     """The rows :func:`delete_orphans` removes."""
-    test = F.col("data_area_id").isNotNull() if alive is None else alive
-    flagged = _surviving(target, source, key, source_key, surrogate, test)
-    return flagged.filter(F.col("_orphan")).drop("_orphan")
+    ids = _alive_ids(source, source_key, alive)
+    return target.where(F.col(surrogate) > 0).join(ids, F.col(key) == F.col("_alive_id"), "left_anti")
 
 
 def action_counts(merged: DataFrame) -> DataFrame:
@@ -203,11 +199,11 @@ def assign_surrogate_keys(
         (F.max(row) + 1).alias("_size")
     )
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # One small row per writing task: safe to order in one place and to broadcast.
+    # One small row per writing task: safe to order in one place.
     offsets = sizes.select(
         "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset")
     )
-    joined = written.join(F.broadcast(offsets), part == F.col("_part"), "left")
+    joined = written.join(offsets, part == F.col("_part"), "left")
     key = F.when(needs_key, F.lit(start) + F.col("_offset") + row + 1).otherwise(F.col(column))
     return joined.withColumn(column, key.cast("bigint")).drop("_part", "_offset", ROW_ID)
 

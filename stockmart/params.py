@@ -1,7 +1,7 @@
 """Run parameters and the enum dictionary.
 
-Both are small control tables: they are read once to the driver behind a row limit, checked, and
-then used as literals, so label lookups need no join.
+Both are small control tables: the parameter row and the declared values of the enums asked for are
+read to the driver once, checked, and then used as literals, so label lookups need no join.
 """
 
 from __future__ import annotations
@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 from stockmart.functions.scalar import moment
 
-MAX_ENUM_VALUES = 10_000
-
 
 @dataclass(frozen=True)
 class NaParams:
@@ -62,15 +60,12 @@ class EnumSet:
 
     @classmethod
     def load(cls, enum_values: DataFrame, names: Iterable[str]) -> EnumSet:
-        """Collect only the enums asked for; refuse a table that is not a small dictionary."""
+        """Collect the values of the enums asked for. Each value is listed once, else it stops."""
         wanted = (
             enum_values.filter(F.col("enum_name").isin(*names))
             .select("enum_name", "value_id", "value_name", "value_label")
-            .limit(MAX_ENUM_VALUES + 1)
             .collect()
         )
-        if len(wanted) > MAX_ENUM_VALUES:
-            raise ValueError(f"more than {MAX_ENUM_VALUES} enum values; expected a dictionary")
         return cls(tuple(r) for r in wanted)
 
     def id(self, enum: str, name: str) -> int:
@@ -83,11 +78,10 @@ class EnumSet:
     def ids(self, enum: str, names: Iterable[str]) -> list[int]:
         return [self.id(enum, n) for n in names]
 
-    def label(self, enum: str, value: Column, width: int | None = None) -> Column:
-        """Label for an id column, NULL when the id is unknown, cut to ``width`` characters."""
+    def label(self, enum: str, value: Column) -> Column:
+        """Label for an id column, NULL when the id is unknown."""
         entries = self._labels.get(enum, {})
         if not entries:
             return F.lit(None).cast("string")
         pairs = [F.lit(x) for value_id, text in entries.items() for x in (value_id, text)]
-        found = F.try_element_at(F.create_map(*pairs), value.cast("int"))
-        return F.substring(found, 1, width) if width else found
+        return F.try_element_at(F.create_map(*pairs), value.cast("int"))

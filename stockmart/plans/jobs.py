@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from stockmart import schemas
 from stockmart.functions.period import Period
 from stockmart.functions.scalar import moment
-from stockmart.operators import archive, merge
+from stockmart.operators import archive as retention
+from stockmart.operators import merge
+from stockmart.params import NaParams
 from stockmart.plans import (
     enrich,
     inventory_value,
@@ -48,10 +50,7 @@ def sales_orders_table(spark: SparkSession, path: str) -> FactTable:
 
 
 def _orphan_rules(source: DataFrame, surrogate: str) -> dict:
-    return {
-        "alive": lambda df: merge.delete_orphans(df, source, "record_id", surrogate),
-        "gone": lambda df: merge.orphans(df, source, "record_id", surrogate),
-    }
+    return {"gone": lambda df: merge.orphans(df, source, "record_id", surrogate)}
 
 
 def load_stock_levels(
@@ -60,14 +59,17 @@ def load_stock_levels(
     now: dt.datetime,
     execution_id: str | None = None,
     incremental: bool = False,
-    postings_unique: bool = False,
+    archive: FactTable | None = None,
 ) -> LoadResult:
-    """Stock level fact: every matched row is rewritten with the source values."""
+    """Stock level fact: every matched row is rewritten with the source values.
+
+    Records that ``archive`` holds are rewritten there.
+    """
     params, enums = tables.na_params(), tables.enums(*enrich.ENUM_NAMES)
-    source = stock_level.build(tables, params, enums, execution_id, incremental, postings_unique)
+    source = stock_level.build(tables, params, enums, execution_id, incremental)
     stamp = {"ea_process_datetime": moment(now)}
     return fact.merge(
-        source, ["record_id"], on_update=stamp, on_insert=stamp,
+        source, ["record_id"], on_update=stamp, on_insert=stamp, archive=archive,
         **_orphan_rules(tables["invent_trans"], "stock_level_key"),
     )
 
@@ -126,11 +128,10 @@ def load_settlements(
     now: dt.datetime,
     execution_id: str | None = None,
     incremental: bool = False,
-    unique_masters: bool = False,
 ) -> LoadResult:
     """Settlement fact: only changed rows are updated and stamped."""
     params, enums = tables.na_params(), tables.enums(*enrich.ENUM_NAMES)
-    source = settlement.build(tables, params, enums, execution_id, incremental, unique_masters)
+    source = settlement.build(tables, params, enums, execution_id, incremental)
     return fact.merge(
         source, ["record_id"], compare=schemas.SETTLEMENT_COMPARED,
         on_update={"ea_process_datetime": moment(now), "ea_is_deleted": F.lit(False)},
@@ -153,22 +154,25 @@ def build_monthly_summary(
     period: Period,
     now: dt.datetime,
     ties: str | None = None,
-    types: str = "all",
+    types: str = "counted",
     level: str = "latest",
+    archive: FactTable | None = None,
 ) -> LoadResult:
     """Monthly summary of one period, merged into the partition of that month.
 
     By default every key gets one row (see :func:`stockmart.plans.summary.build_history`). With
     ``ties`` the one-month definition with its tie handling is used instead; if that yields
-    several rows for a merge key, the load stops. Transaction type lists must fit the column.
+    several rows for a merge key, the load stops. Levels need all history: where detail has been
+    moved to ``archive``, its rows are read as well.
     """
-    common = {"types": types, "max_chars": summary.TYPES_WIDTH, "month_column": MONTH}
+    common = {"types": types, "month_column": MONTH}
+    rows = fact.read() if archive is None else fact.read().unionByName(archive.read())
     if ties is None:
         source = summary.build_history(
-            fact.read(), tables, params, now, first=period, last=period, level=level, **common
+            rows, tables, params, now, first=period, last=period, level=level, **common
         )
     else:
-        source = summary.build(fact.read(), tables, params, period, now, ties=ties, **common)
+        source = summary.build(rows, tables, params, period, now, ties=ties, **common)
     result = target.merge(
         source, list(schemas.SUMMARY_KEYS), update_columns=_SUMMARY_UPDATED,
         on_update={"ea_last_update_datetime": moment(now)},
@@ -177,7 +181,10 @@ def build_monthly_summary(
     return result
 
 
-def archive_detail(fact: FactTable, target: FactTable, today: dt.date,
-                   months: int = archive.DETAIL_MONTHS) -> int:
-    """Move detail older than ``months`` months to the archive table."""
-    return fact.archive_before(target, archive.cutoff(today, months))
+def archive_detail(
+    fact: FactTable, target: FactTable, today: dt.date, params: NaParams,
+    months: int = retention.DETAIL_MONTHS, keys: tuple[str, ...] = ("record_id",),
+) -> int:
+    """Move detail older than ``months`` months to the archive table; undated rows stay."""
+    limit = retention.cutoff(today, months)
+    return fact.archive_before(target, limit, keys, params.na_datetime.date())

@@ -41,14 +41,12 @@ def adjustments(
     enums: EnumSet,
     execution_id: str | None = None,
     incremental_load: bool = False,
-    unique_masters: bool = False,
 ) -> DataFrame:
     """Settled transactions with their adjustment rows, origin and item unit.
 
     Settlements valued at physical cost and the dummy record 0 are left out. The joins to the
-    financial posting, the marking and return origins, the dimension sets and the item master only
-    repeat rows or tell whether a record exists; with ``unique_masters`` (their keys are unique)
-    those whose columns no fact reads are skipped.
+    financial posting and to the marking and return origins, whose columns no fact reads, repeat
+    rows where their keys repeat.
     """
     status = StatusColumns(enums)
     trans = live(tables["invent_trans"]).filter(is_settled(status))
@@ -72,14 +70,13 @@ def adjustments(
          "invent_trans_id": "invent_trans_id"},
         how="inner",
     )
-    if not unique_masters:
-        df = by_role(df, tables["invent_trans_posting"], "financial",
-                     {"ledger_dimension_financial": "ledger_dimension"})
-        for column in ("marking_ref_invent_trans_origin", "return_invent_trans_origin"):
-            df = _left(df, tables["invent_trans_origin"],
-                       {column: "rec_id", "data_area_id": "data_area_id"}, {})
-        df = _left(df, tables["dimension_value_combination"],
-                   {"ledger_dimension_financial": "rec_id"}, {"ledger_dimension_id": "rec_id"})
+    df = by_role(df, tables["invent_trans_posting"], "financial",
+                 {"ledger_dimension_financial": "ledger_dimension"})
+    for column in ("marking_ref_invent_trans_origin", "return_invent_trans_origin"):
+        df = _left(df, tables["invent_trans_origin"],
+                   {column: "rec_id", "data_area_id": "data_area_id"}, {})
+    df = _left(df, tables["dimension_value_combination"],
+               {"ledger_dimension_financial": "rec_id"}, {"ledger_dimension_id": "rec_id"})
     # The item master is compared on both keys with the module rows, hence an inner join.
     df = _left(df, tables["invent_table"],
                {"item_id": "item_id", "data_area_id": "data_area_id"}, {}, how="inner")
@@ -96,13 +93,12 @@ def build(
     enums: EnumSet,
     execution_id: str | None = None,
     incremental_load: bool = False,
-    unique_masters: bool = False,
 ) -> DataFrame:
     """Rows of the settlement fact, without its surrogate key and audit columns.
 
     An adjustment moves cost only: its quantity is NULL and so is every quantity bucket.
     """
-    df = adjustments(tables, enums, execution_id, incremental_load, unique_masters)
+    df = adjustments(tables, enums, execution_id, incremental_load)
     df = df.withColumns({
         **labels(enums),
         "record_type": constant(SETTLEMENT_RECORD, "int"),

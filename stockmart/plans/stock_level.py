@@ -42,16 +42,14 @@ def build(
     enums: EnumSet,
     execution_id: str | None = None,
     incremental_load: bool = False,
-    postings_unique: bool = False,
 ) -> DataFrame:
     """Rows of the stock level fact, without its surrogate key and audit column.
 
-    Vouchers are not part of this fact, but duplicate postings multiply its sums. Declare
-    ``postings_unique`` where the posting table has one row per voucher: both joins fall away.
+    Vouchers are not part of this fact, but duplicate postings multiply its sums.
     """
     trans = stock_transactions(
         tables, enums, execution_id, incremental_load,
-        keep_null_category=True, null_id_means_all=True, postings=not postings_unique,
+        keep_null_category=True, null_id_means_all=True,
     )
     keyed = dims.resolve_keys(
         classify(trans, enums), tables,

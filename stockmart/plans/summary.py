@@ -24,8 +24,6 @@ FACT_KEYS = ("company_key", "product_key", "product_inventory_key", "inventory_d
              "warehouse_key")
 SIZE_KEY = "inventory_size_key"
 KEYS = (*FACT_KEYS[:4], SIZE_KEY, FACT_KEYS[4])
-# Declared width of the transaction type list.
-TYPES_WIDTH = 500
 
 _DIMENSIONS = {
     "company_key": "dim_company", "product_key": "dim_product",
@@ -44,17 +42,13 @@ def _unknown_for_null(df: DataFrame, params: NaParams) -> DataFrame:
     return df.withColumns({k: F.coalesce(F.col(k), params.key()) for k in KEYS})
 
 
-def movements(
-    fact: DataFrame, keys: tuple[str, ...], types: str = "all", max_chars: int | None = None
-) -> DataFrame:
+def movements(fact: DataFrame, keys: tuple[str, ...], types: str = "counted") -> DataFrame:
     """Inbound and outbound quantities, distinct transaction counts and types per key.
 
     Every row is combined per key twice in one shuffle: under its transaction id, which spreads a
     hot key over its transactions and turns three distinct counts into sums of flags, and under
     its transaction type, where only counts of the few types remain.
     """
-    if types not in ("all", "distinct"):
-        raise ValueError("types must be 'all' or 'distinct'")
     zero = F.lit(0).cast("decimal(18,4)")
     moved = F.coalesce(F.col("physical_stock_quantity"), zero)
     rows = fact.select(
@@ -86,7 +80,7 @@ def movements(
         F.count_if(is_id & named).alias("total_transaction_count"),
         F.collect_list(F.when(~is_id & named, entry)).alias("_types"),
     )
-    text = join_counted(F.col("_types"), "transaction_types", types == "distinct", max_chars)
+    text = join_counted(F.col("_types"), types)
     return totals.withColumn("transaction_types", text).drop("_types")
 
 
@@ -161,8 +155,7 @@ def build(
     period: Period,
     now: dt.datetime,
     ties: str = "all",
-    types: str = "all",
-    max_chars: int | None = None,
+    types: str = "counted",
     month_column: str | None = None,
 ) -> DataFrame:
     """Summary of one month, keeping the definitions that create odd rows.
@@ -185,7 +178,7 @@ def build(
         *schemas.BOM_LEVELS, *schemas.EOM_LEVELS,
     )
     moved = movements(
-        _unknown_for_null(confirm_keys(in_period, tables), params), KEYS, types, max_chars
+        _unknown_for_null(confirm_keys(in_period, tables), params), KEYS, types
     ).withColumnsRenamed({k: f"_m_{k}" for k in KEYS})
     found = F.expr(" and ".join(f"_m_{k} = _{k}" for k in KEYS))
     df = both.join(moved, found, "left").withColumns({
@@ -205,8 +198,7 @@ def build_history(
     first: Period | None = None,
     last: Period | None = None,
     level: str = "latest",
-    types: str = "all",
-    max_chars: int | None = None,
+    types: str = "counted",
     month_column: str | None = None,
 ) -> DataFrame:
     """Summaries of all months with activity in one pass, one row per month and key.
@@ -241,7 +233,7 @@ def build_history(
     wanted = _unknown_for_null(confirm_keys(wanted, tables), params).withColumn(
         "_month", F.trunc(DATE, "month")
     )
-    moved = movements(wanted, (*KEYS, "_month"), types, max_chars)
+    moved = movements(wanted, (*KEYS, "_month"), types)
     df = months.join(moved, [*KEYS, "_month"], "left").withColumns({
         "year": F.year("_month"), "month": F.month("_month"), "_end": F.last_day("_month"),
     })

@@ -157,8 +157,8 @@ def _no_yes(column: str) -> str:
 
 _VALUE_ATTRIBUTES = f"""coalesce({_ISSUE}, 'N/A') as issue_status,
 coalesce({_RECEIPT}, 'N/A') as receipt_status,
-coalesce(substr(case when s.reference_category <= 25 then
-  {_listed(TRANSACTION_TYPES, 's.reference_category')} end, 1, 20), 'N/A') as transaction_type,
+coalesce(case when s.reference_category <= 25 then
+  {_listed(TRANSACTION_TYPES, 's.reference_category')} end, 'N/A') as transaction_type,
 coalesce(s.reference_id, 'N/A') as inventory_reference,
 coalesce(s.posting_type, 'N/A') as posting_type,
 coalesce(s.voucher_number, 'N/A') as voucher_number,
@@ -223,6 +223,9 @@ count(distinct inventory_transaction_id) filter (where movement_type in ('OUT',
   as outbound_transaction_count,
 count(distinct inventory_transaction_id) as total_transaction_count"""
 
+# Each value with its count, by a histogram of the group's values.
+_COUNTED = """array_to_string([x.key || ' x' || x.value
+                for x in list_sort(map_entries(histogram(transaction_type)))], ', ')"""
 _CONFIRM = """left join dim_company c1 on c1.company_key = f.company_key
 left join dim_product c2 on c2.product_key = f.product_key
 left join dim_product_inventory c3 on c3.product_inventory_key = f.product_inventory_key
@@ -295,6 +298,12 @@ CTES = {
             and wh.inventory_site_code = idm.inventory_site_code
             and wh.warehouse_code = idm.warehouse_code
        left join dim_date dt on dt.date_key = s.date_physical
+       left join (from invent_trans_posting where posting_type = 0) pp
+         on pp.data_area_id = s.data_area_id and pp.invent_trans_origin = s.invent_trans_origin
+        and pp.voucher = s.voucher_physical and pp.trans_date = s.date_physical
+       left join (from invent_trans_posting where posting_type = 1) fp
+         on fp.data_area_id = s.data_area_id and fp.invent_trans_origin = s.invent_trans_origin
+        and fp.voucher = s.voucher and fp.trans_date = s.date_financial
        group by all""",
     "value_fact": f"""select 177 as record_type, s.rec_id as record_id, {_STAR_KEYS},
               {_VALUE_ATTRIBUTES}, pr.inventory_unit,
@@ -311,6 +320,14 @@ CTES = {
        join invent_settlement e on e.trans_rec_id = t.rec_id and e.data_area_id = t.data_area_id
        join invent_trans_origin o on o.rec_id = t.invent_trans_origin
         and o.data_area_id = t.data_area_id
+       left join (from invent_trans_posting where posting_type = 1) fp
+         on fp.data_area_id = t.data_area_id and fp.invent_trans_origin = t.invent_trans_origin
+        and fp.voucher = t.voucher and fp.trans_date = t.date_financial
+       left join invent_trans_origin mo on mo.rec_id = t.marking_ref_invent_trans_origin
+        and mo.data_area_id = t.data_area_id
+       left join invent_trans_origin ro on ro.rec_id = t.return_invent_trans_origin
+        and ro.data_area_id = t.data_area_id
+       left join dimension_value_combination dc on dc.rec_id = fp.ledger_dimension
        join invent_table i on i.item_id = t.item_id and i.data_area_id = t.data_area_id
        join invent_table_module m on m.item_id = i.item_id and m.data_area_id = i.data_area_id
         and m.module_type = 0
@@ -322,15 +339,13 @@ CTES = {
               {_value_columns('cast(null as decimal(18, 4))', 's.adjustment')},
               s.date_expected as date_expected
        {_star('adjusted')}""",
-    "prices": """select p.data_area_id, p.item_id, p.invent_dim_id, p.price, p.activation_date,
-              d.invent_site_id, n.activation_date as next_activation,
-              coalesce(n.activation_date - interval 1 day, timestamp '9999-12-31') as expiry_date
-       from (from invent_item_price where data_lake_modified is not null) p
-       join invent_dim d on d.invent_dim_id = p.invent_dim_id and d.data_area_id = p.data_area_id
-       left join (from invent_item_price where data_lake_modified is not null) n
-         on n.data_area_id = p.data_area_id and n.item_id = p.item_id
-        and n.invent_dim_id = p.invent_dim_id
-        and year(n.activation_date) = year(p.activation_date) + 1""",
+    "prices": """select p.*, d.invent_site_id,
+              coalesce(next_activation - interval 1 day, timestamp '9999-12-31') as expiry_date
+       from (select data_area_id, item_id, invent_dim_id, price, activation_date,
+                    lead(activation_date) over (partition by data_area_id, item_id, invent_dim_id
+                                                order by activation_date, price) as next_activation
+             from invent_item_price where data_lake_modified is not null) p
+       join invent_dim d on d.invent_dim_id = p.invent_dim_id and d.data_area_id = p.data_area_id""",
     "totals": """select invent_trans_id, company_code, -sum(cost_amount_posted) as posted,
               sum(cost_amount_physical) as physical, sum(qty) as qty, max(invoice_id) as invoice,
               max(packing_slip_id) as slip,
@@ -375,7 +390,7 @@ CTES = {
        qualify row_number() over (partition by {K6}, month_start
                                   order by transaction_date desc) = 1""",
     "moves": f"""select {K6}, month_start, {_MOVES},
-              string_agg(transaction_type, ', ' order by transaction_type) as transaction_types,
+              {_COUNTED} as transaction_types,
               string_agg(distinct transaction_type, ', ' order by transaction_type)
                 as distinct_types
        from known group by all""",
@@ -402,6 +417,13 @@ CTES = {
                           {', '.join(f'sum({m}) as month_{m}' for m in LEVELS)}
                    from known group by all) a) r
          on {_same('r', 'h', KEY6)} and r.month_start = make_date(h.year, h.month, 1)""",
+    "seeded": """select * replace (
+              days_inventory_outstanding + if(product_key % 5 = 0, 1, 0)
+                as days_inventory_outstanding,
+              stock_turnover_ratio + if(product_key % 5 = 1, 1, 0) as stock_turnover_ratio,
+              average_physical_stock_quantity + if(product_key % 5 = 2, 1, 0)
+                as average_physical_stock_quantity)
+       from history_summary""",
     "period_base": f"""select distinct {', '.join(KEY5)} from stock_fact
        where transaction_date between timestamp '1998-06-01' and timestamp '1998-06-30'""",
     "period_bom": _period_level("bom", "< timestamp '1998-06-01'"),
@@ -692,7 +714,7 @@ select company_key, coalesce(warehouse_key, -1) as warehouse_key,
 from stock_fact group by all""", ["total_inbound_quantity", "total_outbound_quantity"])
 ORACLE["transaction_type_list"] = statement(f"""
 select company_key, warehouse_key, {_MONTH.format('transaction_date')} as month,
-  string_agg(transaction_type, ', ' order by transaction_type) as transaction_types
+  {_COUNTED} as transaction_types
 from stock_fact group by all""")
 ORACLE["monthly_summary"] = statement("select * from history_summary", **_SUMMARY)
 ORACLE["monthly_summary_running"] = statement(
@@ -725,28 +747,31 @@ from history_summary
 where abs(quantity_change - net_movement_quantity) > 0.01""",
     [*_LEVEL_PAIR.split(", "), "total_inbound_quantity", "total_outbound_quantity",
      "net_movement_quantity", "quantity_change", "expected_eom"])
-ORACLE["dq_dio_top20"] = statement(f"""
+for _name, _rows in (("dq_dio_top20", "history_summary"), ("dq_dio_seeded", "seeded")):
+    ORACLE[_name] = statement(f"""
 select {GRAIN}, eom_physical_stock_quantity, total_outbound_quantity, days_inventory_outstanding,
   {_EXPECTED_DIO} as expected_dio,
   case when abs(days_inventory_outstanding - {_EXPECTED_DIO}) < 0.01 then '✓ Correct'
        else '⚠ Mismatch' end as dio_status
-from history_summary where total_outbound_quantity > 0
+from {_rows} where total_outbound_quantity > 0
 order by eom_physical_stock_quantity desc, {GRAIN} limit 20""",
     ["eom_physical_stock_quantity", "total_outbound_quantity", "days_inventory_outstanding",
      "expected_dio"])
-ORACLE["dq_turnover_top20"] = statement(f"""
+for _name, _rows in (("dq_turnover_top20", "history_summary"), ("dq_turnover_seeded", "seeded")):
+    ORACLE[_name] = statement(f"""
 select {GRAIN}, total_outbound_quantity, average_physical_stock_quantity, stock_turnover_ratio,
   {_EXPECTED_TURNOVER} as expected_turnover_ratio,
   case when abs(stock_turnover_ratio - {_EXPECTED_TURNOVER}) < 0.0001 then '✓ Correct'
        else '⚠ Mismatch' end as turnover_status
-from history_summary where average_physical_stock_quantity > 0
+from {_rows} where average_physical_stock_quantity > 0
 order by stock_turnover_ratio desc, {GRAIN} limit 20""",
     ["total_outbound_quantity", "stock_turnover_ratio", "expected_turnover_ratio"])
-ORACLE["dq_average"] = statement(f"""
+for _name, _rows in (("dq_average", "history_summary"), ("dq_average_seeded", "seeded")):
+    ORACLE[_name] = statement(f"""
 select {GRAIN}, {_LEVEL_PAIR}, average_physical_stock_quantity,
   cast(bom_physical_stock_quantity + eom_physical_stock_quantity as double) / 2
     as expected_average, '⚠ Mismatch' as status
-from history_summary
+from {_rows}
 where abs(average_physical_stock_quantity
   - cast(bom_physical_stock_quantity + eom_physical_stock_quantity as double) / 2) >= 0.01""",
     _LEVEL_PAIR.split(", "))
@@ -778,3 +803,27 @@ select year, month, period_start_date, period_end_date, count(*) as total_record
 from history_summary group by all""",
     moments=["first_processed", "last_processed"], days=["period_start_date", "period_end_date"],
     whole=["total_transactions"])
+ORACLE["monthly_summary_after_archive"] = ORACLE["monthly_summary"]
+_SUMMARY_ROW = statement(
+    "select *, true as has_key from history_summary where year = 1998 and month in (6, 7)",
+    **_SUMMARY)
+ORACLE["load_monthly_summary"] = _SUMMARY_ROW
+ORACLE["dq_negatives_period"] = statement("""
+select case when bom_physical_stock_quantity < 0 then '⚠ Negative BOM'
+            when eom_physical_stock_quantity < 0 then '⚠ Negative EOM'
+            when average_physical_stock_quantity < 0 then '⚠ Negative Average'
+            else '✓ Valid' end as validation, count(*) as rows
+from history_summary where year = 1998 and month = 6 group by 1""")
+ORACLE["load_stock_levels"] = statement(
+    "select *, true as has_key from stock_fact where record_id % 7 <> 0", STOCK_NAMES,
+    ["transaction_date", "inventory_date", "status_date"])
+ORACLE["load_inventory_value"] = statement(
+    "select *, true as has_key from value_fact where record_id % 7 <> 0",
+    _VALUE_AMOUNTS, _VALUE_MOMENTS, whole=["record_type"])
+ORACLE["load_settlements"] = statement(
+    "select *, true as has_key from settlement_rows where record_id % 7 <> 0",
+    _VALUE_AMOUNTS, [*_VALUE_MOMENTS, "date_expected"])
+ORACLE["period_labels"] = statement("""
+select distinct year, month, year::varchar || '-' || lpad(month::varchar, 2, '0') as period,
+  'RUN_' || strftime(last_day(make_date(year, month, 1)), '%Y%m%d_%H%M%S') as run
+from history_summary""")

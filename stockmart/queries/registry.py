@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 
 from stockmart.functions.measures import STOCK_MEASURES, stock_level_sums, value_buckets
 from stockmart.functions.period import Period
+from stockmart.functions import scalar
 from stockmart.functions.scalar import moment
 from stockmart.functions.status import StatusColumns, movement_type
 from stockmart.operators import archive, asof, dims, merge, quality
@@ -80,8 +82,7 @@ class Context:
         name = hashlib.md5(self.sf_dir.encode()).hexdigest()[:12]
         fact = jobs.stock_level_table(self.spark, f"{session_dir(self.spark)}/{name}/stock_level")
         if fact.path not in _loaded:
-            # The generated postings have one row per voucher, so their joins can be left out.
-            rows = stock_level.build(self.tables, self.params, self.enums, postings_unique=True)
+            rows = stock_level.build(self.tables, self.params, self.enums)
             fact.replace(rows)
             _loaded.add(fact.path)
         return fact.read()
@@ -360,9 +361,11 @@ def price_at_order(c: Context) -> DataFrame:
     lines = c.tables["sales_line"].join(sites, ["invent_dim_id", "data_area_id"], "left")
     on = {"item_id": "item_id", "invent_site_id": "invent_site_id",
           "data_area_id": "data_area_id"}
-    df = asof.valid_at(lines, prices, on, "created_datetime", {"closed_price": "price"})
-    df = asof.valid_at(df, prices, on, "created_datetime", {"half_open_price": "price"},
-                       half_open=True)
+    carry = {"half_open_price": "price", "expiry_date": "expiry_date"}
+    df = asof.valid_at(lines, prices, on, "created_datetime", carry, half_open=True)
+    # A closed interval ends a day earlier, and it is part of the half-open one.
+    in_closed = F.col("created_datetime") <= F.col("expiry_date")
+    df = df.withColumn("closed_price", F.when(in_closed, F.col("half_open_price")))
     return df.select("invent_trans_id", "data_area_id", "item_id", "created_datetime",
                      "closed_price", "half_open_price")
 
@@ -417,6 +420,94 @@ def monthly_summary_period(c: Context) -> DataFrame:
     )
 
 
+def _tables_of(c: Context, name: str, *makers):
+    """New stored tables below the session's folder for a query that runs loads."""
+    root = f"{session_dir(c.spark)}/{name}-{uuid.uuid4().hex}"
+    made = [make(c.spark, f"{root}/{i}") for i, make in enumerate(makers)]
+    for table in made:
+        table.create()
+    return made
+
+
+@query
+def monthly_summary_after_archive(c: Context) -> DataFrame:
+    """All months once the detail older than half a year has moved to the archive."""
+    fact, cold = _tables_of(c, "archived", jobs.stock_level_table, jobs.stock_level_table)
+    fact.replace(c.stock_fact().drop(MONTH))
+    jobs.archive_detail(fact, cold, NOW.date(), c.params)
+    rows = fact.read().unionByName(cold.read())
+    return _without_audit(
+        summary.build_history(rows, c.tables, c.params, NOW, month_column=MONTH)
+    )
+
+
+def _stored_summary(c: Context):
+    """June and July 1998 in a stored summary; June is built twice."""
+    (target,) = _tables_of(c, "summary", jobs.summary_table)
+    name = hashlib.md5(c.sf_dir.encode()).hexdigest()[:12]
+    c.stock_fact()
+    fact = jobs.stock_level_table(c.spark, f"{session_dir(c.spark)}/{name}/stock_level")
+    for period in (PERIOD, Period(1998, 7), PERIOD):
+        jobs.build_monthly_summary(c.tables, c.params, fact, target, period, NOW)
+    return target
+
+
+@query
+def load_monthly_summary(c: Context) -> DataFrame:
+    rows = _without_audit(_stored_summary(c).rows())
+    return rows.withColumn("has_key", F.col("summary_key") > 0).drop("summary_key")
+
+
+@query
+def dq_negatives_period(c: Context) -> DataFrame:
+    """A check of one month of the stored summary."""
+    return quality.negatives(_stored_summary(c).rows(), PERIOD)
+
+
+# Loads: two thirds of the source with other values first, then a source without every seventh row.
+
+
+def _load_twice(c: Context, make, load, source: str, measure: str, key: str) -> DataFrame:
+    (fact,) = _tables_of(c, "load", make)
+    rows = c.tables[source]
+    early = rows.filter(F.col("rec_id") % 3 != 0).withColumn(
+        measure, (F.col(measure) + 1).cast(rows.schema[measure].dataType)
+    )
+    late = rows.filter(F.col("rec_id") % 7 != 0)
+    for state in (early, late):
+        load(c.tables.replacing(**{source: state}), fact, NOW)
+    stored = fact.rows().withColumn("has_key", F.col(key) > 0)
+    return stored.drop(key, "ea_process_datetime", "ea_is_deleted")
+
+
+@query
+def load_stock_levels(c: Context) -> DataFrame:
+    return _load_twice(c, jobs.stock_level_table, jobs.load_stock_levels, "invent_trans", "qty",
+                   "stock_level_key")
+
+
+@query
+def load_inventory_value(c: Context) -> DataFrame:
+    return _load_twice(c, jobs.inventory_value_table, jobs.load_inventory_value, "invent_trans", "qty",
+                   "inventory_value_key")
+
+
+@query
+def load_settlements(c: Context) -> DataFrame:
+    return _load_twice(c, jobs.settlement_table, jobs.load_settlements, "invent_settlement",
+                   "cost_amount_adjustment", "inventory_settlement_key")
+
+
+@query
+def period_labels(c: Context) -> DataFrame:
+    """Label and run tag of every month of the summary."""
+    months = c.history_summary().select("year", "month", "period_end_date").distinct()
+    return months.select(
+        "year", "month", scalar.period_label(F.col("year"), F.col("month")).alias("period"),
+        scalar.run_label(F.col("period_end_date").cast("timestamp_ntz")).alias("run"),
+    )
+
+
 @query
 def kpi_dio(c: Context) -> DataFrame:
     return c.history_summary().select(
@@ -436,7 +527,9 @@ def kpi_turnover(c: Context) -> DataFrame:
 @query
 def retention_split(c: Context) -> DataFrame:
     """Detail and archive volume per month at the run date."""
-    detail, old = archive.split_by_age(c.stock_fact(), "transaction_date", NOW.date())
+    detail, old = archive.split_by_age(
+        c.stock_fact(), "transaction_date", NOW.date(), c.params.na_datetime.date()
+    )
     both = detail.withColumn("tier", F.lit("detail")).unionByName(
         old.withColumn("tier", F.lit("archive"))
     )
@@ -454,7 +547,7 @@ def dq_completeness(c: Context) -> DataFrame:
 
 @query
 def dq_balance(c: Context) -> DataFrame:
-    return quality.balance(c.history_summary(), ordered=False)
+    return quality.balance(c.history_summary())
 
 
 @query
@@ -469,12 +562,12 @@ def dq_turnover_top20(c: Context) -> DataFrame:
 
 @query
 def dq_average(c: Context) -> DataFrame:
-    return quality.average(c.history_summary(), ordered=False)
+    return quality.average(c.history_summary())
 
 
 @query
 def dq_counts(c: Context) -> DataFrame:
-    return quality.counts(c.history_summary(), ordered=False)
+    return quality.counts(c.history_summary())
 
 
 @query
@@ -495,3 +588,32 @@ def dq_period_dates(c: Context) -> DataFrame:
 @query
 def dq_run_summary(c: Context) -> DataFrame:
     return quality.run_summary(c.history_summary())
+
+
+# The same checks on a summary with defects in every month.
+
+
+def _seeded(c: Context) -> DataFrame:
+    summary_rows = c.history_summary()
+    for i, name in enumerate(("days_inventory_outstanding", "stock_turnover_ratio",
+                              "average_physical_stock_quantity")):
+        wrong = F.col("product_key") % 5 == i
+        summary_rows = summary_rows.withColumn(
+            name, F.when(wrong, F.col(name) + 1).otherwise(F.col(name))
+        )
+    return summary_rows
+
+
+@query
+def dq_dio_seeded(c: Context) -> DataFrame:
+    return quality.dio(_seeded(c))
+
+
+@query
+def dq_turnover_seeded(c: Context) -> DataFrame:
+    return quality.turnover(_seeded(c))
+
+
+@query
+def dq_average_seeded(c: Context) -> DataFrame:
+    return quality.average(_seeded(c))

@@ -15,7 +15,6 @@ from stockmart.operators import merge
 from stockmart.schemas import empty
 from stockmart.session import work_dir
 
-MAX_PARTITIONS = 20_000
 _TAGS = (merge.ACTION, merge.ROW_ID)
 
 
@@ -99,10 +98,8 @@ class FactTable:
         return f"{base}/merge-{uuid.uuid4().hex}"
 
     def _partitions(self, df: DataFrame) -> set[tuple]:
-        """Distinct partition values; a table has a bounded number of them."""
-        found = df.select(*self.partition_columns).distinct().limit(MAX_PARTITIONS + 1).collect()
-        if len(found) > MAX_PARTITIONS:
-            raise ValueError(f"more than {MAX_PARTITIONS} partitions touched by one merge")
+        """Distinct partition values; the driver lists the folders of a table in any case."""
+        found = df.select(*self.partition_columns).distinct().collect()
         return {tuple(r) for r in found}
 
     def _only(self, df: DataFrame, values: set[tuple]) -> DataFrame:
@@ -127,14 +124,15 @@ class FactTable:
         on_insert: dict[str, Column] | None = None,
         update_columns: Sequence[str] | None = None,
         insert: bool = True,
-        alive: Callable[[DataFrame], DataFrame] | None = None,
         gone: Callable[[DataFrame], DataFrame] | None = None,
+        archive: FactTable | None = None,
     ) -> LoadResult:
         """Merge ``source`` and rewrite the partitions that hold touched rows.
 
-        ``alive`` keeps the rows of a frame whose source record exists and ``gone`` returns the
-        others; with them orphans are removed in the same rewrite. The steps read and write shared
-        storage, so lost executors only repeat tasks:
+        ``gone`` returns the rows of a frame whose source record no longer exists; with it these
+        orphans are removed in the same rewrite. Source rows whose key ``archive`` holds are merged
+        there, without inserts, so that an archived record does not come back. The steps read and
+        write shared storage, so lost executors only repeat tasks:
 
         1. the source is written once, since several steps read it;
         2. touched partitions are those of source rows, of their old rows, and of orphans;
@@ -142,10 +140,26 @@ class FactTable:
         4. new surrogate keys are added and the partitions are overwritten from there.
         """
         scratch = self._scratch()
+        try:
+            return self._merge(scratch, source, keys, compare, on_update, on_insert,
+                               update_columns, insert, gone, archive)
+        finally:
+            remove_folder(self.spark, scratch)
+
+    def _merge(self, scratch, source, keys, compare, on_update, on_insert, update_columns, insert,
+               gone, archive) -> LoadResult:
         placed = self._placed(source) if set(self.partition_by) - set(source.columns) else source
         placed.write.mode("error").parquet(f"{scratch}/source")
         staged = self.spark.read.parquet(f"{scratch}/source")
         merge.assert_unique(staged, keys)
+        archived = LoadResult()
+        if archive is not None:
+            known = archive.read().select(*keys)
+            archived = archive.merge(
+                staged.join(known, list(keys), "left_semi"), keys, compare, on_update,
+                update_columns=update_columns, insert=False,
+            )
+            staged = staged.join(known, list(keys), "left_anti")
 
         current = self.read()
         old = current.select(*dict.fromkeys([*keys, *self.partition_columns]))
@@ -153,17 +167,21 @@ class FactTable:
         touched = self._partitions(hit)
         if insert:
             touched |= self._partitions(staged)
+        orphans = None
         if gone is not None:
-            touched |= self._partitions(gone(current))
+            lost = gone(current).select(self.surrogate, *self.partition_columns)
+            lost.write.mode("error").parquet(f"{scratch}/orphans")
+            orphans = self.spark.read.parquet(f"{scratch}/orphans")
+            touched |= self._partitions(orphans)
         if not touched:
-            remove_folder(self.spark, scratch)
-            return LoadResult()
+            return archived
 
         before = self._only(current, touched)
         deleted = 0
         target = before.select(*self.schema.names)
-        if alive is not None:
-            target = alive(target)
+        if orphans is not None:
+            deleted = orphans.count()
+            target = target.join(orphans.select(self.surrogate), self.surrogate, "left_anti")
         fields = [c for c in staged.columns if c in self.schema.names]
         if insert:
             merged = merge.upsert(target, staged.select(*fields), keys, compare, on_update,
@@ -174,10 +192,6 @@ class FactTable:
         merge.tag_rows(merged).write.mode("error").parquet(f"{scratch}/merged")
         written = self.spark.read.parquet(f"{scratch}/merged")
         counts = {r[merge.ACTION]: r["rows"] for r in merge.action_counts(written).collect()}
-        if alive is not None:
-            survivors = sum(counts.values()) - counts.get(merge.INSERT, 0)
-            deleted = before.count() - survivors
-
         final = written
         if self.surrogate:
             start = merge.next_start(current, self.surrogate)
@@ -185,8 +199,7 @@ class FactTable:
                 written, self.surrogate, F.col(merge.ACTION) == merge.INSERT, start
             )
         self._overwrite(final.drop(*_TAGS), touched, self._partitions(self._placed(written)))
-        remove_folder(self.spark, scratch)
-        return LoadResult(
+        return archived + LoadResult(
             counts.get(merge.INSERT, 0), counts.get(merge.UPDATE, 0),
             counts.get(merge.UNCHANGED, 0), deleted,
         )
@@ -207,26 +220,32 @@ class FactTable:
                 self._folder(values)
             )
 
-    def archive_before(self, archive: FactTable, limit: dt.date) -> int:
+    def archive_before(
+        self, archive: FactTable, limit: dt.date, keys: Sequence[str], undated: dt.date
+    ) -> int:
         """Move whole months before ``limit`` to another table of the same layout.
 
         Rows already archived for those months are kept; a repeated run after a failure finds its
-        own rows again by surrogate key. Returns the rows those months now hold in the archive.
+        own rows again by their merge keys. The month of ``undated``, the date that stands for no
+        date, stays. Returns the rows those months now hold in the archive.
         """
         (column,) = self.partition_columns
-        first_kept = limit.year * 100 + limit.month
-        old = self.read().filter((F.col(column) < first_kept) & (F.col(column) > 0))
+        first_kept, no_date = (d.year * 100 + d.month for d in (limit, undated))
+        month = F.col(column)
+        old = self.read().filter((month < first_kept) & (month > 0) & (month != no_date))
         moved = self._partitions(old)
         if not moved:
             return 0
         scratch = self._scratch()
-        earlier = self._only(archive.read(), moved)
-        old.unionByName(earlier).dropDuplicates([self.surrogate]).write.parquet(scratch)
-        staged = self.spark.read.parquet(scratch)
-        archive._overwrite(staged.select(*self.schema.names), moved, moved)
-        rows = staged.count()
-        self._empty(moved)
-        remove_folder(self.spark, scratch)
+        try:
+            earlier = self._only(archive.read(), moved)
+            old.unionByName(earlier).dropDuplicates(list(keys)).write.parquet(scratch)
+            staged = self.spark.read.parquet(scratch)
+            archive._overwrite(staged.select(*self.schema.names), moved, moved)
+            rows = staged.count()
+            self._empty(moved)
+        finally:
+            remove_folder(self.spark, scratch)
         return rows
 
 

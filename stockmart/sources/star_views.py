@@ -28,8 +28,6 @@ ENUMS = {
     "InventTransType": TRANSACTION_TYPES,
 }
 
-LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-
 VIEWS = {
     # One row per order line: the raw stock transactions.
     "invent_trans": """
@@ -274,23 +272,6 @@ def base_tables_of(view: str) -> list[str]:
     return sorted(fields & set(BASE_TABLES))
 
 
-# The tables that grow with the scale factor, and a column that spreads their rows evenly.
-_SPREAD_BY = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
-
-
-def open_base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A generated table; one that is kept in fewer files than cores is spread over the cores.
-
-    A single file with a single row group would otherwise be read and joined by a single task. A
-    table in many files is scanned as it is.
-    """
-    df = read_table(spark, sf_dir, name)
-    column = _SPREAD_BY.get(name)
-    if column and len(df.inputFiles()) < spark.sparkContext.defaultParallelism:
-        return df.repartition(column)
-    return df
-
-
 def star_view(spark: SparkSession, base: TableSet, view: str) -> DataFrame:
     names = base_tables_of(view)
     text = VIEWS[view].format(**_SPARK_SPELLING, **{n: "{" + n + "}" for n in names})
@@ -317,7 +298,7 @@ def params_frame(spark: SparkSession, params: NaParams | None = None) -> DataFra
 
 def star_tables(spark: SparkSession, sf_dir: str) -> TableSet:
     """All domain tables over one folder of generated tables."""
-    base = TableSet({b: (lambda b=b: open_base(spark, sf_dir, b)) for b in BASE_TABLES})
+    base = TableSet({b: (lambda b=b: read_table(spark, sf_dir, b)) for b in BASE_TABLES})
     openers = {v: (lambda v=v: star_view(spark, base, v)) for v in VIEWS}
     openers.update({b: (lambda b=b: base[b]) for b in BASE_TABLES})
     openers["enum_values"] = lambda: enum_frame(spark)

@@ -55,7 +55,7 @@ def test_stock_level_load_life_cycle(spark, stored, now, tmp_path):
 def test_orphans_moved_rows_and_emptied_months(spark, stored, now, tmp_path):
     fact = jobs.stock_level_table(spark, str(tmp_path / "fact"))
     fact.create()
-    jobs.load_stock_levels(stored, fact, now, postings_unique=True)
+    jobs.load_stock_levels(stored, fact, now)
     total = fact.rows().count()
     months = fact.read().groupBy(MONTH).count()
     month, in_month = months.filter(F.col(MONTH) == 199806).first()
@@ -66,8 +66,7 @@ def test_orphans_moved_rows_and_emptied_months(spark, stored, now, tmp_path):
     moved = trans.withColumn("date_physical", F.when(
         july, F.col("date_physical") + F.expr("interval 31 days")
     ).otherwise(F.col("date_physical")))
-    result = jobs.load_stock_levels(stored.replacing(invent_trans=moved), fact, now,
-                                    postings_unique=True)
+    result = jobs.load_stock_levels(stored.replacing(invent_trans=moved), fact, now)
     assert result.deleted == in_month and result.inserted == 0
     assert fact.rows().count() == total - in_month
     left = {r[0] for r in fact.read().select(MONTH).distinct().collect()}
@@ -80,7 +79,7 @@ def test_unknown_member_survives_orphan_removal(spark, stored, now, tmp_path):
         spark.sql("select cast(-1 as bigint) stock_level_key, cast(-1 as bigint) record_id"),
         allowMissingColumns=True)
     unknown.withColumn(MONTH, F.lit(0)).write.partitionBy(MONTH).parquet(fact.path)
-    jobs.load_stock_levels(stored, fact, now, postings_unique=True)
+    jobs.load_stock_levels(stored, fact, now)
     assert fact.rows().filter("stock_level_key = -1").count() == 1
 
 
@@ -106,8 +105,7 @@ def test_value_and_settlement_loads_update_only_changes(spark, stored, now, tmp_
     assert full.inserted == settled.rows().count() > 0
     assert settled.rows().filter("quantity is not null or posted_quantity is not null").count() == 0
     assert settled.rows().filter("posted_cost_amount is not null").count() == full.inserted
-    lean = jobs.load_settlements(stored, settled, now, unique_masters=True)
-    assert lean == LoadResult(unchanged=full.inserted)
+    assert jobs.load_settlements(stored, settled, now) == LoadResult(unchanged=full.inserted)
 
 
 def test_sales_cost_refresh_is_update_only(spark, stored, now, tmp_path):
@@ -122,7 +120,7 @@ def test_sales_cost_refresh_is_update_only(spark, stored, now, tmp_path):
 def test_monthly_summary_load(spark, stored, now, tmp_path):
     fact = jobs.stock_level_table(spark, str(tmp_path / "fact"))
     fact.create()
-    jobs.load_stock_levels(stored, fact, now, postings_unique=True)
+    jobs.load_stock_levels(stored, fact, now)
     target = jobs.summary_table(spark, str(tmp_path / "summary"))
     target.create()
     params = stored.na_params()
@@ -147,7 +145,7 @@ def test_monthly_summary_load(spark, stored, now, tmp_path):
 def test_tied_definition_is_refused_by_the_merge(spark, stored, now, tmp_path):
     fact = jobs.stock_level_table(spark, str(tmp_path / "fact"))
     fact.create()
-    jobs.load_stock_levels(stored, fact, now, postings_unique=True)
+    jobs.load_stock_levels(stored, fact, now)
     target = jobs.summary_table(spark, str(tmp_path / "summary"))
     target.create()
     # keys without warehouse close under the unknown member, several times
@@ -159,7 +157,7 @@ def test_tied_definition_is_refused_by_the_merge(spark, stored, now, tmp_path):
 def test_both_summaries_agree_on_complete_keys(spark, stored, now):
     enums = stored.enums(*enrich.ENUM_NAMES)
     params = stored.na_params()
-    fact = stock_level.build(stored, params, enums, postings_unique=True)
+    fact = stock_level.build(stored, params, enums)
     for column in ("company_key", "product_key", "product_inventory_key", "warehouse_key"):
         fact = fact.filter((F.col(column) > 0))
     period = Period(1999, 3)
@@ -171,7 +169,7 @@ def test_both_summaries_agree_on_complete_keys(spark, stored, now):
 def test_running_level_balances(spark, stored, now):
     enums = stored.enums(*enrich.ENUM_NAMES)
     params = stored.na_params()
-    fact = stock_level.build(stored, params, enums, postings_unique=True)
+    fact = stock_level.build(stored, params, enums)
     out = summary.build_history(fact, stored, params, now, level="running")
     physical = out.filter("bom_physical_stock_quantity + total_inbound_quantity "
                           "- total_outbound_quantity <> eom_physical_stock_quantity")
@@ -204,7 +202,7 @@ def test_duplicate_postings_multiply_stock_sums(spark, stored):
     doubled = stored.replacing(
         invent_trans_posting=stored["invent_trans_posting"].union(stored["invent_trans_posting"]))
     measure = "available_stock_quantity"
-    once = stock_level.build(stored, params, enums, postings_unique=True).filter(f"{measure} <> 0")
+    once = stock_level.build(stored, params, enums).filter(f"{measure} <> 0")
     twice = stock_level.build(doubled, params, enums)
     pairs = once.select("record_id", measure).join(
         twice.select("record_id", F.col(measure).alias("more")), "record_id")
@@ -213,18 +211,45 @@ def test_duplicate_postings_multiply_stock_sums(spark, stored):
     assert factors == {2, 4}
 
 
-def test_archive_moves_whole_months(spark, stored, now, tmp_path):
+def test_archive_and_loads_take_turns(spark, stored, now, tmp_path):
     fact = jobs.stock_level_table(spark, str(tmp_path / "fact"))
     cold = jobs.stock_level_table(spark, str(tmp_path / "cold"))
     fact.create()
     cold.create()
-    jobs.load_stock_levels(stored, fact, now, postings_unique=True)
-    total = fact.rows().count()
-    moved = jobs.archive_detail(fact, cold, now.date())
-    assert moved == cold.rows().count() and 0 < moved < total
-    assert fact.rows().count() == total - moved
-    assert jobs.archive_detail(fact, cold, now.date()) == 0
-    assert cold.rows().count() == moved
+    params = stored.na_params()
+    # some lines have no date of their own
+    trans = stored["invent_trans"].withColumn("date_physical", F.when(
+        F.col("currency_code") != "CUR1", F.col("date_physical")))
+    undated = stored.replacing(invent_trans=trans)
+    jobs.load_stock_levels(undated, fact, now, archive=cold)
+    whole = tuples(fact.rows().drop("stock_level_key"))
+    before = summary.build_history(fact.read(), stored, params, now)
+    before = tuples(before)
+    without_date = fact.read().filter(F.col(MONTH) == 190001).count()
+    moved = jobs.archive_detail(fact, cold, now.date(), params)
+    assert moved == cold.rows().count() and 0 < moved < len(whole)
+    assert fact.read().filter(F.col(MONTH) == 190001).count() == without_date > 0
+    again = jobs.load_stock_levels(undated, fact, now, archive=cold)
+    assert again == LoadResult(updated=len(whole))
+    assert jobs.archive_detail(fact, cold, now.date(), params) == 0
+    both = fact.rows().unionByName(cold.rows())
+    assert tuples(both.drop("stock_level_key")) == whole
+    assert tuples(summary.build_history(both, stored, params, now)) == before
+    target = jobs.summary_table(spark, str(tmp_path / "summary"))
+    target.create()
+    jobs.build_monthly_summary(stored, params, fact, target, Period(1998, 6), now, archive=cold)
+    assert target.rows().count() == sum(1 for r in before if (1998, 6) == r[:2]) > 0
+
+
+def test_failed_merge_leaves_nothing_behind(spark, stored, now, tmp_path):
+    fact = jobs.stock_level_table(spark, str(tmp_path / "fact"))
+    fact.create()
+    work = spark.conf.get("spark.checkpoint.dir")
+    left = set(os.listdir(work)) if os.path.exists(work) else set()
+    rows = stock_level.build(stored, stored.na_params(), stored.enums(*enrich.ENUM_NAMES))
+    with pytest.raises(merge.DuplicateKeyError):
+        fact.merge(rows.union(rows), ["record_id"])
+    assert {f for f in os.listdir(work) if f.startswith("merge-")} <= left
 
 
 def test_stream_equals_batch_and_replay_changes_nothing(spark, stored, now, tmp_path):
