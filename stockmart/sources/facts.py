@@ -154,12 +154,14 @@ class FactTable:
         merge.assert_unique(staged, keys)
         archived = LoadResult()
         if archive is not None:
+            # Stored, as the archive's files change before the other rows are read.
             known = archive.read().select(*keys)
+            staged.join(known, list(keys), "left_semi").write.parquet(f"{scratch}/archived")
+            cold = self.spark.read.schema(staged.schema).parquet(f"{scratch}/archived")
             archived = archive.merge(
-                staged.join(known, list(keys), "left_semi"), keys, compare, on_update,
-                update_columns=update_columns, insert=False,
+                cold, keys, compare, on_update, update_columns=update_columns, insert=False
             )
-            staged = staged.join(known, list(keys), "left_anti")
+            staged = staged.join(cold.select(*keys), list(keys), "left_anti")
 
         current = self.read()
         old = current.select(*dict.fromkeys([*keys, *self.partition_columns]))
