@@ -728,7 +728,8 @@ ORACLE["kpi_turnover"] = statement(f"""
 select {GRAIN}, average_physical_stock_quantity, total_outbound_quantity, stock_turnover_ratio
 from history_summary""", ["total_outbound_quantity", "stock_turnover_ratio"])
 ORACLE["retention_split"] = statement(f"""
-select case when transaction_date < timestamp '2001-02-01' then 'archive' else 'detail' end
+select case when transaction_date < timestamp '2001-02-01'
+            and transaction_date <> timestamp '1900-01-01' then 'archive' else 'detail' end
   as tier, {_MONTH.format('transaction_date')} as month, count(*) as rows
 from stock_fact group by all""")
 ORACLE["dq_completeness"] = statement("""
