@@ -15,11 +15,12 @@ windows as (
     select distinct item_id, words[s : s + least(10, len(words)) - 1] as win
     from (select item_id, words, unnest(range(1, greatest(2, len(words) - 8))) as s
           from items where len(words) > 0)),
-lengths as (select distinct len(win) as n from windows),
+heads as (select distinct win[1] as word, len(win) as n from windows),
+starts as (
+    select doc_id, unnest(words) as word, generate_subscripts(words, 1) as s from docs),
 places as (
-    select doc_id, n, s, words[s : s + n - 1] as win
-    from (select doc_id, words, n, unnest(range(1, len(words) - n + 2)) as s
-          from docs, lengths where len(words) >= n)),
+    select doc_id, n, s, d.words[s : s + n - 1] as win
+    from starts join heads using (word) join docs d using (doc_id)),
 hits as (
     select p.doc_id, p.s, p.n, w.item_id from places p join windows w using (win)),
 words_hit as (
@@ -44,10 +45,10 @@ from documents window same as (partition by coalesce(text, ''))
 ORACLE["op6_substring_dedup"] = r"""
 with docs as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
 places as (
-    select doc_id, s, words[s : s + 19] as win
+    select doc_id, s, array_to_string(words[s : s + 19], ' ') as win
     from (select doc_id, words, unnest(range(1, len(words) - 18)) as s from docs where len(words) >= 20)),
 ranked as (
-    select doc_id, s, row_number() over (partition by md5(win::varchar), win order by doc_id, s) as k from places),
+    select doc_id, s, row_number() over (partition by win order by doc_id, s) as k from places),
 gone as (
     select distinct doc_id, unnest(range(s, s + 20)) as at from ranked where k > 1),
 words as (select doc_id, unnest(words) as word, generate_subscripts(words, 1) as at from docs),
