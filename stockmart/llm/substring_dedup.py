@@ -31,7 +31,7 @@ from stockmart.llm.common import stored, text_of
 from stockmart.llm.words import Words, slices, texts_of
 
 WINDOW = 20
-PIECE = 8
+PIECE = 5
 #: Super-k-mers of one minimiser from which on its windows travel alone.
 CROWD = 5_000
 #: Bits of the filter, and the parts in which tasks make it. The driver holds all bits, 32 MB.
@@ -136,6 +136,8 @@ def holds(filter_bytes: np.ndarray, least: np.ndarray) -> np.ndarray:
 def pack(rows: DataFrame, again: np.ndarray, crowded: np.ndarray, window: int, piece: int) -> DataFrame:
     """The super-k-mers that may meet an equal one, as packed strings with their bucket.
 
+    In its bucket a string is known by ``mark``, a hash of its own beside the bucket's.
+
     ``again`` and ``crowded`` are bit filters of minimisers that occur more than once, and very
     often. Both look at the minimiser only, so equal windows are treated alike.
     """
@@ -169,7 +171,7 @@ def pack(rows: DataFrame, again: np.ndarray, crowded: np.ndarray, window: int, p
                     [
                         part.column("doc").take(pa.array(which, pa.int64())),
                         pa.array(bucket, pa.int64()),
-                        pa.array([hashlib.blake2b(t, digest_size=16).digest() for t in text], pa.binary()),
+                        pa.array([_hash(t) for t in text], pa.int64()),
                         pa.array(text, pa.binary()).cast(pa.string()),
                         pa.array(start, pa.int32()),
                         pa.array(count, pa.int32()),
@@ -177,7 +179,7 @@ def pack(rows: DataFrame, again: np.ndarray, crowded: np.ndarray, window: int, p
                     ["doc", "bucket", "mark", "string", "start", "n"],
                 )
 
-    return rows.mapInArrow(packed, f"{DOC}, bucket long, mark binary, string string, start int, n int")
+    return rows.mapInArrow(packed, f"{DOC}, bucket long, mark long, string string, start int, n int")
 
 
 def _hash(string: bytes) -> int:
