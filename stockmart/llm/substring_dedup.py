@@ -171,7 +171,7 @@ def pack(rows: DataFrame, again: np.ndarray, crowded: np.ndarray, window: int, p
                     [
                         part.column("doc").take(pa.array(which, pa.int64())),
                         pa.array(bucket, pa.int64()),
-                        pa.array([_hash(t) for t in text], pa.int64()),
+                        pa.array([_hash(t, b"mark") for t in text], pa.int64()),
                         pa.array(text, pa.binary()).cast(pa.string()),
                         pa.array(start, pa.int32()),
                         pa.array(count, pa.int32()),
@@ -182,8 +182,10 @@ def pack(rows: DataFrame, again: np.ndarray, crowded: np.ndarray, window: int, p
     return rows.mapInArrow(packed, f"{DOC}, bucket long, mark long, string string, start int, n int")
 
 
-def _hash(string: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "big", signed=True)
+def _hash(string: bytes, kind: bytes = b"") -> int:
+    """A long of 64 hashed bits; ``kind`` makes independent ones."""
+    found = hashlib.blake2b(string, digest_size=8, person=kind).digest()
+    return int.from_bytes(found, "big", signed=True)
 
 
 def repeats_in(strings: list[tuple[tuple, bytes]], window: int) -> list[tuple]:
