@@ -19,7 +19,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master.partition("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="llm-")
     spark.conf.set("spark.checkpoint.dir", made)
