@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockmart.llm.common import stored, unused
+from stockmart.llm.common import row_key, stored, text_of, unused
 from stockmart.llm.words import slices, texts_of
 
 SHINGLE = 4
@@ -256,6 +256,16 @@ def components(links: DataFrame) -> DataFrame:
             return links
 
 
+def _classes(prints: DataFrame, least: Column, most_bits: int, blocks: int = BLOCKS, part: int = PART) -> DataFrame:
+    """fingerprint, root of its component, and the ``least`` of the rows with that fingerprint."""
+    distinct = prints.groupBy("fingerprint").agg(F.min(least).alias("least"))
+    distinct = stored(distinct, "distinct-fingerprints")
+    roots = components(near_links(distinct, most_bits, blocks, part))
+    return distinct.join(roots, distinct["fingerprint"] == roots["node"], "left").select(
+        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     text_col: str = "text",
@@ -273,12 +283,7 @@ def near_duplicates(
     empty table gives no rows; other columns are ignored.
     """
     prints = stored(fingerprints(docs, text_col, id_col, size), "fingerprints")
-    distinct = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
-    distinct = stored(distinct, "distinct-fingerprints")
-    roots = components(near_links(distinct, most_bits, blocks, part))
-    classes = distinct.join(roots, distinct["fingerprint"] == roots["node"], "left").select(
-        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
-    )
+    classes = _classes(prints, F.col("doc_id"), most_bits, blocks, part)
     named = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     named = classes.join(named, "root").select("fingerprint", "component_id")
     return prints.join(named, "fingerprint").select(
@@ -295,12 +300,20 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """One row of each component, with all its columns: the one with the least id.
 
-    Rows that repeat that id are repeats of one document and are dropped as well, but for one.
+    Null ids come after all others. Rows that share an id but not their text are rows of their
+    own; of those in one component the digest of the text decides. Rows that repeat both id and
+    text are one document and are dropped as well, but for one.
     """
-    found = near_duplicates(docs, text_col, id_col, size, most_bits)
+    keyed = docs.select(row_key(id_col, text_col).alias("key"), text_of(text_col).alias("text"))
+    prints = stored(fingerprints(keyed, "text", "key", size), "fingerprints")
+    key = F.col("doc_id")
+    order = F.struct(key["id"].isNull().alias("unnamed"), key["id"].alias("id"), key["digest"].alias("digest"))
+    first = _classes(prints, order, most_bits).groupBy("root").agg(F.min("least").alias("least"))
     stay = unused(docs, "stay")
-    ids = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.struct(F.col("component_id").alias("id")).alias(stay)
+    winners = first.select(F.struct(F.col("least.id").alias("id"), F.col("least.digest").alias("digest")).alias(stay))
+    # Copies meet map-side first, so a row that is repeated often does not land in one task.
+    named = docs.withColumn(unused(docs, "named"), row_key(id_col, text_col))
+    once = named.dropDuplicates([named.columns[-1]])
+    return once.join(winners, F.col(named.columns[-1]) == F.col(stay), "left_semi").select(
+        *[F.col(f"`{c}`") for c in docs.columns]
     )
-    rows = docs.join(ids.distinct(), F.struct(F.col(id_col).alias("id")) == F.col(stay), "left_semi")
-    return rows.dropDuplicates([id_col])

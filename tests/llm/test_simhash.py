@@ -108,6 +108,21 @@ def test_one_row_of_each_component_stays(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted(want, key=str)
 
 
+def test_shared_and_null_ids_lose_no_document(spark):
+    """Rows that share an id, or have none, stay unless they are near copies of one that stays."""
+    rng = random.Random(5)
+    text = lambda: " ".join(f"w{rng.randrange(5000)}" for _ in range(300))
+    a, b = text(), text()
+    near = a.rsplit(" ", 1)[0] + " other"
+    assert bin(brute_fingerprint(a) ^ brute_fingerprint(near)).count("1") <= simhash.MOST_BITS
+    lone = [text() for _ in range(6)]
+    data = [(3, near), (7, a), (7, b), (None, a), (None, None), (8, None), *[(None, t) for t in lone], (None, lone[0]), (9, lone[1])]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    got = [tuple(r) for r in simhash.drop_near_duplicates(docs).collect()]
+    want = [(3, near), (7, b), (8, None), (9, lone[1]), *[(None, t) for i, t in enumerate(lone) if i != 1]]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(docs).count() == 0
