@@ -195,24 +195,36 @@ def contamination(
     )
 
 
+def start_places(index: DataFrame, items: DataFrame, share: float) -> DataFrame:
+    """The rarest places of each item, as many as a match of ``share`` of its places can't all miss."""
+    frequency = index.where("term is not null").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    places = item_terms(items).join(frequency, "term", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("n", "place"))
+    return (
+        places.withColumn("rank", rank)
+        .where(F.col("rank") <= F.col("size") - F.ceil(F.lit(share) * F.col("size")) + 1)
+        .select("key", "place", "term")
+    )
+
+
 def near_hits(
     index: DataFrame, items: DataFrame, window: int = WINDOW, slack: int = 4, share: float = 0.8
 ) -> DataFrame:
     """Proximity matches (doc, item, zone, met): places near one alignment, with words between.
 
     Alignments whose shifts differ by up to ``slack`` count as one zone; zones overlap, so that no
-    neighbours are parted. A zone matches where ``share`` of the item's distinct places are met
-    inside it. The search starts from alignments of rare terms, as for phrases.
+    neighbours are parted. A zone matches where ``share`` of the item's places are met inside it.
+    At most m - ceil(share * m) of m places are missed, so a match meets one at least of the rarest
+    m - ceil(share * m) + 1: zones of those are where the search starts. Whether the corpus has the
+    other words, or any exact window, does not matter.
     """
-    places = rare_places(index, items, window).select("key", "place", "term")
+    places = start_places(index, items, share)
     shift = F.col("pos") - F.col("place")
     zone = F.explode(F.array(F.floor(shift / (2 * slack)), F.floor((shift + slack) / (2 * slack)) + 0.5))
     near = lambda rows: (
         index.where("term is not null").join(rows, "term").select("doc", "key", "place", zone.alias("zone"))
     )
-    started = near(places).groupBy("doc", "key", "zone").agg(
-        F.countDistinct("place").alias("rare")
-    ).where("rare >= 2").drop("rare")
+    started = near(places).select("doc", "key", "zone").distinct()
     return (
         near(item_terms(items))
         .join(started, ["doc", "key", "zone"], "left_semi")

@@ -144,6 +144,22 @@ def test_proximity_matches_bridge_inserted_words(spark):
     assert decontaminate.find_hits(docs, decontaminate.find_phrases(index, items)).count() == 0
 
 
+def test_proximity_matches_survive_replaced_and_unknown_words(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    rows = [
+        (1, item.replace("epsilon", "alpha")),  # 9 of 10 places, a rarest word replaced
+        (2, item.replace("kappa", "beta").replace("alpha", "theta")),  # 8 of 10
+        (3, " ".join(item.split()[:7]) + " q q q"),  # 7 of 10
+        (4, "single q"),
+        (5, "one two three four six"),  # the corpus lacks the word "five"
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = [(1, item), (2, "single"), (3, "one two three four five")]
+    items = decontaminate.item_words(spark.createDataFrame(bench, "item_id long, text string"))
+    found = decontaminate.near_hits(decontaminate.build_index(docs, items), items).select("doc.id", "item").distinct()
+    assert sorted(map(tuple, found.collect())) == [(1, "1"), (2, "1"), (4, "2"), (5, "3")]
+
+
 # URL filter ----------------------------------------------------------------------------------
 
 
