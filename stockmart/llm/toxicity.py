@@ -1,8 +1,11 @@
 """Toxicity by a subsequence string-kernel support vector machine with Nyström landmarks.
 
 The kernel of two strings sums over their common subsequences of four characters, each weighted by ``DECAY`` to the power of the stretch it takes in either string, up to ``STRETCH`` characters; it
-is normalised by the strings' own stretches. Marks stand at the ends of a string. Inserted
-characters and gaps weaken a match and do not end it, so `st*upid` stays close to `stupid`.
+is normalised by the strings' own stretches. End marks stand at the ends of a string. Inserted
+characters and gaps weaken a match and do not end it, so `st*upid` stays close to `stupid`. The
+stretch covers three inserted characters after each letter. Punctuation inside a string takes part
+in no match; the string without it is decided as well, and the more toxic of the two counts, so
+any filling with marks is met.
 
 Landmarks are a bounded set of training strings; K(., Z) K(Z, Z)^-1/2 are the machine's features.
 As the machine is linear in them, its decision for a string is a sum of one weight per
@@ -34,7 +37,7 @@ from stockmart.llm.common import stored, text_of, unused
 from stockmart.llm.words import WordCache, Words, slices, texts_of
 
 DECAY = 0.6
-STRETCH = 6
+STRETCH = 13
 #: Offsets of the second to fourth character of a subsequence.
 SHAPES = tuple(combinations(range(1, STRETCH), 3))
 #: Characters of their own; all others count as one.
@@ -43,10 +46,13 @@ ALPHABET = 48
 MOST_TEXTS, MOST_STRINGS, LANDMARKS = 20_000, 3_000, 128
 #: Rounds in which clean strings that look toxic join the negative ones.
 MINING = 3
-#: Marks that do not count at the ends of a string.
+#: Marks do not count at the ends of a string, and are gaps inside.
 MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+_NO_MARKS = str.maketrans("", "", MARKS)
 #: Longer strings are cut into overlapping pieces; the most toxic piece counts.
 PIECE, OVERLAP = 32, 12
+#: Strings whose subsequences are listed together, about 50 MB for the longest pieces.
+BATCH = 500
 
 
 @dataclass
@@ -72,15 +78,16 @@ class Machine:
     def decide(self, strings: list[str]) -> list[float]:
         """Decision of each string; pieces of long ones count by their greatest."""
         pieces, owner = [], []
-        for i, s in enumerate(s.strip(MARKS) for s in strings):
-            last = max(1, len(s) - OVERLAP)
-            parts = [s] if len(s) <= PIECE else [s[a : a + PIECE] for a in range(0, last, PIECE - OVERLAP)]
+        for i, s in enumerate(strings):
+            parts = pieces_of(s)
+            if not s.isalnum() and (bare := s.translate(_NO_MARKS)) != s.strip(MARKS):
+                parts += pieces_of(bare)
             pieces += parts
             owner += [i] * len(parts)
         out = np.full(len(strings), self.lowest)
         order = np.argsort([len(p) for p in pieces], kind="stable")
-        for a in range(0, len(pieces), 5_000):
-            some = order[a : a + 5_000]
+        for a in range(0, len(pieces), BATCH):
+            some = order[a : a + BATCH]
             keys, weights = subsequences([pieces[i] for i in some], self.alphabet)
             norm = np.sqrt(np.einsum("ij,ij->i", weights, weights))
             value = np.einsum("ij,ij->i", self.table[keys], weights) / np.maximum(norm, 1e-12) - self.bias
@@ -100,20 +107,32 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
 
 
+def pieces_of(string: str) -> list[str]:
+    """The string without marks at its ends, cut into overlapping pieces where it is long."""
+    string = string.strip(MARKS)
+    if len(string) <= PIECE:
+        return [string]
+    return [string[a : a + PIECE] for a in range(0, len(string) - OVERLAP, PIECE - OVERLAP)]
+
+
 def subsequences(strings: list[str], alphabet: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """Keys and weights of all subsequences of each string, padded with weight zero."""
     n = max(map(len, strings), default=0) + 2
-    codes = np.zeros((len(strings), n + STRETCH), np.int32)
+    codes = np.zeros((len(strings), n), np.int32)
     get = alphabet.get
     for row, s in zip(codes, strings):
         row[0] = row[len(s) + 1] = 1
         row[1 : len(s) + 1] = [get(c, 0) for c in s]
-    keys = np.empty((len(strings), n * len(SHAPES)), np.int32)
+    # Only places that the longest string has: short strings fit few of the shapes.
+    shapes = [shape for shape in SHAPES if shape[2] < n]
+    keys = np.empty((len(strings), sum(n - d for _, _, d in shapes)), np.int32)
     weights = np.empty(keys.shape, np.float32)
     known = codes > 0
-    for i, (b, c, d) in enumerate(SHAPES):
-        part = slice(i * n, (i + 1) * n)
-        at = [slice(x, x + n) for x in (0, b, c, d)]
+    done = 0
+    for b, c, d in shapes:
+        part = slice(done, done + n - d)
+        done = part.stop
+        at = [slice(x, x + n - d) for x in (0, b, c, d)]
         w, x, y, z = (codes[:, a] for a in at)
         keys[:, part] = ((w * ALPHABET + x) * ALPHABET + y) * ALPHABET + z
         # Characters outside the alphabet stand for many, so they take part in no match.
@@ -122,25 +141,42 @@ def subsequences(strings: list[str], alphabet: dict[str, int]) -> tuple[np.ndarr
     return keys, weights
 
 
+def packed(strings: list[str], alphabet: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The subsequences of all strings in a row, normalised, and the bounds of the strings."""
+    keys: list[np.ndarray] = [np.empty(0, np.int32)] * len(strings)
+    weights: list[np.ndarray] = [np.empty(0, np.float32)] * len(strings)
+    order = sorted(range(len(strings)), key=lambda i: len(strings[i]))
+    for a in range(0, len(order), BATCH):
+        some = order[a : a + BATCH]
+        k, w = subsequences([strings[i] for i in some], alphabet)
+        w = w / np.maximum(np.sqrt(np.einsum("ij,ij->i", w, w)), 1e-12)[:, None]
+        for row, i in enumerate(some):
+            full = w[row] > 0
+            keys[i], weights[i] = k[row, full], w[row, full]
+    bounds = np.concatenate(([0], np.cumsum([len(k) for k in keys])))
+    return np.concatenate([*keys, np.empty(0, np.int32)]), np.concatenate([*weights, np.empty(0, np.float32)]), bounds
+
+
 def train_machine(positive: list[str], negative: list[str]) -> Machine:
     """A linear support vector machine on Nyström features of the strings."""
     strings = [s.strip(MARKS)[:PIECE] for s in positive + negative]
     common: dict[str, int] = {}
     for s in strings:
-        for c in set(s):
+        for c in set(s) - set(MARKS):
             common[c] = common.get(c, 0) + 1
     # Code 0 is any other character and code 1 the end mark.
     chosen = sorted(common, key=lambda c: (-common[c], c))[: ALPHABET - 2]
     alphabet = {c: i + 2 for i, c in enumerate(chosen)}
-    keys, weights = subsequences(strings, alphabet)
-    weights /= np.maximum(np.sqrt(np.einsum("ij,ij->i", weights, weights)), 1e-12)[:, None]
+    keys, weights, bounds = packed(strings, alphabet)
+    own = [slice(a, b) for a, b in zip(bounds[:-1], bounds[1:])]
+    owner = np.repeat(np.arange(len(strings)), np.diff(bounds))
     table = np.zeros(ALPHABET**4, np.float32)
 
     def kernel(z: int) -> np.ndarray:
         """Of all strings with string ``z``."""
-        np.add.at(table, keys[z], weights[z])
-        found = np.einsum("ij,ij->i", table[keys], weights)
-        table[keys[z]] = 0
+        np.add.at(table, keys[own[z]], weights[own[z]])
+        found = np.bincount(owner, table[keys] * weights, len(strings))
+        table[keys[own[z]]] = 0
         return found
 
     landmarks, columns = [], []
@@ -159,7 +195,7 @@ def train_machine(positive: list[str], negative: list[str]) -> Machine:
     share = np.where(sign > 0, 0.5 / max(1, len(positive)), 0.5 / max(1, len(negative)))
     w = _squared_hinge(np.hstack([features, -np.ones((len(strings), 1))]), sign, share)
     for z, beta in zip(landmarks, root @ w[:-1]):
-        np.add.at(table, keys[z], np.float32(beta) * weights[z])
+        np.add.at(table, keys[own[z]], np.float32(beta) * weights[own[z]])
     used = np.flatnonzero(table)
     return Machine(alphabet, used, table[used], float(w[-1]))
 

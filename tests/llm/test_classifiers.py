@@ -86,6 +86,17 @@ def test_gapped_and_inserted_insults(spark):
     assert toxicity.score(frame.where("false"), machine).count() == 0
 
 
+@pytest.mark.parametrize("fill", ["*", "..", "___", "-.-.-"])
+def test_interleaved_insults(spark, fill):
+    docs, labels, clean = toxic_table(spark)
+    machine = toxicity.train(docs, labels)
+    odd = [fill.join(w) for w in ("grumblefritz", "snotwuzzle", "krankpiffel")]
+    texts = [(i, " ".join([*clean[i * 20 : i * 20 + 20], w, w])) for i, w in enumerate(odd)]
+    texts += [(100 + i, " ".join([*clean[i * 20 : i * 20 + 19], fill.join(clean[i])])) for i in range(10)]
+    got = toxicity.score(spark.createDataFrame(texts, "doc_id long, text string"), machine).collect()
+    assert {r.doc_id: r.predicted for r in got} == {r[0]: int(r[0] < 100) for r in texts}
+
+
 def test_folds_are_those_of_crc32(spark):
     ids = spark.createDataFrame([(i,) for i in range(200)] + [(None,)], "doc_id long")
     for r in ids.select("doc_id", toxicity.held_out("doc_id").alias("out")).collect():
