@@ -21,6 +21,7 @@ much of them is above the border, and that in proportion to the text.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -49,6 +50,9 @@ MINING = 3
 #: Marks do not count at the ends of a string, and are gaps inside.
 MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 _NO_MARKS = str.maketrans("", "", MARKS)
+#: Three or more characters that stand apart, in Arrow's and in Python's syntax.
+_APART = r"(?:^|[\t-\r ])[^\t-\r ](?:[\t-\r ]+[^\t-\r ]){2,}(?:[\t-\r ]|$)"
+_RUN = re.compile(r"(?<![^\t-\r ])[^\t-\r ](?:[\t-\r ]+[^\t-\r ]){2,}(?![^\t-\r ])")
 #: Longer strings are cut into overlapping pieces; the most toxic piece counts.
 PIECE, OVERLAP = 32, 12
 #: Strings whose subsequences are listed together, about 50 MB for the longest pieces.
@@ -232,8 +236,11 @@ def _spread(vectors: np.ndarray, count: int, among: int) -> list[int]:
 def strings_of(texts: pa.Array) -> Words:
     """The strings of the texts' sentences: words, and letters that stand apart as one string."""
     lower = pc.utf8_lower(texts)
-    apart = pc.replace_substring_regex(lower, r"(^|\s)(\S)\s(\S)\s(\S)(?:\s(\S))?(?:\s(\S))?(?:\s(\S))?(?:\s(\S))?(?:\s|$)", r" \2\3\4\5\6\7\8 ")
-    return Words(pc.ascii_split_whitespace(apart))
+    some = pc.match_substring_regex(lower, _APART)
+    if some.true_count:
+        joined = [_RUN.sub(lambda m: "".join(m[0].split()), x) for x in lower.filter(some).to_pylist()]
+        lower = pc.replace_with_mask(lower, some, pa.array(joined, lower.type))
+    return Words(pc.ascii_split_whitespace(lower))
 
 
 def _fit_curve(traits: np.ndarray, labels: np.ndarray) -> np.ndarray:

@@ -97,6 +97,13 @@ def test_interleaved_insults(spark, fill):
     assert {r.doc_id: r.predicted for r in got} == {r[0]: int(r[0] < 100) for r in texts}
 
 
+def test_letters_that_stand_apart_are_one_string():
+    texts = ["so w o r t h l e s s you", "i  d\t i\no   t", "a b", "ab c d e fg", "x y z"]
+    words = toxicity.strings_of(toxicity.pa.array(texts, toxicity.pa.large_string()))
+    got = [[words.distinct[i] for i in words.index[a:b]] for a, b in zip(words.bounds, words.bounds[1:])]
+    assert got == [["so", "worthless", "you"], ["idiot"], ["a", "b"], ["ab", "cde", "fg"], ["xyz"]]
+
+
 def test_folds_are_those_of_crc32(spark):
     ids = spark.createDataFrame([(i,) for i in range(200)] + [(None,)], "doc_id long")
     for r in ids.select("doc_id", toxicity.held_out("doc_id").alias("out")).collect():
