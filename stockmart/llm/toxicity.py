@@ -31,7 +31,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockmart.llm.common import stored, text_of, unused
@@ -162,8 +162,8 @@ def packed(strings: list[str], alphabet: dict[str, int]) -> tuple[np.ndarray, np
 
 
 def train_machine(positive: list[str], negative: list[str]) -> Machine:
-    """A linear support vector machine on Nyström features of the strings."""
-    strings = [s.strip(MARKS)[:PIECE] for s in positive + negative]
+    """A linear support vector machine on Nyström features of the strings, as ``pieces_of`` gives them."""
+    strings = positive + negative
     common: dict[str, int] = {}
     for s in strings:
         for c in set(s) - set(MARKS):
@@ -265,6 +265,22 @@ def _fit_curve(traits: np.ndarray, labels: np.ndarray) -> np.ndarray:
     return at
 
 
+def labelled_strings(alone: DataFrame) -> DataFrame:
+    """label and the different strings of each row's ``words``, trimmed and cut as ``pieces_of`` does."""
+
+    def pieces(word: Column) -> Column:
+        bare = F.btrim(word, F.lit(MARKS))
+        last = F.greatest(F.lit(0), F.length(bare) - OVERLAP - 1)
+        cut = F.transform(
+            F.sequence(F.lit(0), last, F.lit(PIECE - OVERLAP)),
+            lambda a: F.substring(bare, a + 1, F.lit(PIECE)),
+        )
+        return F.when(F.length(bare) <= PIECE, F.array(bare)).otherwise(cut)
+
+    found = F.array_distinct(F.flatten(F.transform("words", pieces)))
+    return alone.select("label", F.explode(found).alias("string")).where("string != ''")
+
+
 def train(
     docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", label_col: str = "toxic"
 ) -> Machine:
@@ -288,10 +304,7 @@ def train(
         .dropDuplicates(["trait"])
     )
     strings = stored(
-        alone.select("label", F.explode(F.array_distinct("words")).alias("string"))
-        .where("string != '' and length(string) <= 64")
-        .groupBy("string")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic")),
+        labelled_strings(alone).groupBy("string").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic")),
         "labelled-strings",
     )
     rates = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic")).first()

@@ -104,6 +104,15 @@ def test_letters_that_stand_apart_are_one_string():
     assert got == [["so", "worthless", "you"], ["idiot"], ["a", "b"], ["ab", "cde", "fg"], ["xyz"]]
 
 
+def test_training_strings_are_the_pieces_that_are_decided(spark):
+    words = ["stupid!", "stupid", "", "**", "é" * 32, "x" * 33 + "hidden" + "y" * 40, "https://" + "ab" * 500]
+    rows = spark.createDataFrame([(1, words)], "label int, words array<string>")
+    got = [r.string for r in toxicity.labelled_strings(rows).collect()]
+    want = {piece for w in words for piece in toxicity.pieces_of(w)} - {""}
+    assert len(got) == len(set(got)) and set(got) == want
+    assert any("hidden" in g for g in got)
+
+
 def test_folds_are_those_of_crc32(spark):
     ids = spark.createDataFrame([(i,) for i in range(200)] + [(None,)], "doc_id long")
     for r in ids.select("doc_id", toxicity.held_out("doc_id").alias("out")).collect():
