@@ -45,6 +45,8 @@ SHAPES = tuple(combinations(range(1, STRETCH), 3))
 ALPHABET = 48
 #: Bounds of the training sample: labelled texts, strings of either class, landmarks.
 MOST_TEXTS, MOST_STRINGS, LANDMARKS = 20_000, 3_000, 128
+#: Least hashes in which near copies agree.
+MINIMA = 4
 #: Rounds in which clean strings that look toxic join the negative ones.
 MINING = 3
 #: Marks do not count at the ends of a string, and are gaps inside.
@@ -265,6 +267,27 @@ def _fit_curve(traits: np.ndarray, labels: np.ndarray) -> np.ndarray:
     return at
 
 
+def without_near_copies(sample: DataFrame, words: Column) -> DataFrame:
+    """text and label of one text for all that share a label and ``MINIMA`` least hashes of word triples.
+
+    Copies of one text must not make its words look like a habit. Texts that only share a passage
+    differ in some of the hashes. The least text of the copies stays.
+    """
+
+    def least(seed: int) -> Column:
+        return F.array_min(F.transform(
+            F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("words") - 3)),
+            lambda i: F.xxhash64(F.lit(seed), F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)),
+        ))
+
+    return (
+        sample.withColumn("words", F.explode(F.array(words)))
+        .groupBy("label", *[least(seed).alias(f"least{seed}") for seed in range(MINIMA)])
+        .agg(F.min("text").alias("text"))
+        .select("text", "label")
+    )
+
+
 def labelled_strings(alone: DataFrame) -> DataFrame:
     """label and the different strings of each row's ``words``, trimmed and cut as ``pieces_of`` does."""
 
@@ -291,18 +314,8 @@ def train(
     follow the base rate.
     """
     sample = stored(training_sample(docs, labels, text_col, id_col, label_col), "labelled-texts")
-    # Copies of one text must not make its words look like a habit: near copies share the least
-    # hash of their word triples, and one text of each stands for them.
     words = F.split(F.lower("text"), r"\s+")
-    triples = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("words") - 3)),
-        lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)),
-    )
-    alone = (
-        sample.withColumn("words", F.explode(F.array(words)))
-        .withColumn("trait", F.array_min(triples))
-        .dropDuplicates(["trait"])
-    )
+    alone = without_near_copies(sample, words).withColumn("words", words)
     strings = stored(
         labelled_strings(alone).groupBy("string").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic")),
         "labelled-strings",

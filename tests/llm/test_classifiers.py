@@ -113,6 +113,19 @@ def test_training_strings_are_the_pieces_that_are_decided(spark):
     assert any("hidden" in g for g in got)
 
 
+def test_texts_that_share_a_passage_all_teach(spark):
+    rng = random.Random(4)
+    text = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passage = text(200)
+    bodies = [(f"{text(100)} {passage}", i % 2) for i in range(40)]
+    copies = [(bodies[0][0], 0)] * 5
+    frame = spark.createDataFrame(bodies + copies, "text string, label int").repartition(4)
+    words = toxicity.F.split(toxicity.F.lower("text"), r"\s+")
+    got = [tuple(r) for r in toxicity.without_near_copies(frame, words).collect()]
+    assert len(got) == len(set(got)) and set(got) <= set(bodies)
+    assert len(got) >= 20 and {label for _, label in got} == {0, 1}
+
+
 def test_folds_are_those_of_crc32(spark):
     ids = spark.createDataFrame([(i,) for i in range(200)] + [(None,)], "doc_id long")
     for r in ids.select("doc_id", toxicity.held_out("doc_id").alias("out")).collect():
