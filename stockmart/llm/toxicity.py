@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockmart.llm.common import stored, text_of, unused
+from stockmart.llm.common import row_key, stored, text_of, unused
 from stockmart.llm.words import WordCache, Words, slices, texts_of
 
 DECAY = 0.6
@@ -361,14 +361,22 @@ def held_out(id_col: str):
 def training_sample(
     docs: DataFrame, labels: DataFrame, text_col: str, id_col: str, label_col: str, most: int = MOST_TEXTS
 ) -> DataFrame:
-    """text and label of about ``most`` labelled rows at most, outside of the held-out fold."""
+    """text and label of about ``most`` labelled texts at most, outside of the held-out fold.
+
+    An id with several labels has the one that most of them say, 1 for ties. Rows that share id
+    and text count once.
+    """
     known = labels.where(F.col(label_col).isNotNull()).select(
         F.col("doc_id").alias("labelled"), F.col(label_col).cast("int").alias("label")
     ).where(~held_out("labelled"))
-    share = min(1.0, most / max(1, known.count()))
-    picked = known.where(F.pmod(F.xxhash64("labelled"), F.lit(1 << 20)) < share * (1 << 20))
-    texts = docs.select(F.col(id_col).alias("doc"), text_of(text_col).alias("text"))
-    return texts.join(picked, F.col("doc") == F.col("labelled")).select("text", "label")
+    known = known.groupBy("labelled").agg(F.round(F.avg("label")).cast("int").alias("label"))
+    keys = docs.select(row_key(id_col, text_col).alias("key")).distinct()
+    keys = stored(keys.join(known, F.col("key.id") == F.col("labelled")).select("key", "label"), "labelled-keys")
+    share = min(1.0, most / max(1, keys.count()))
+    picked = keys.where(F.pmod(F.xxhash64("key.id", "key.digest"), F.lit(1 << 20)) < share * (1 << 20))
+    texts = docs.select(row_key(id_col, text_col).alias("doc"), text_of(text_col).alias("text"))
+    found = texts.join(picked, F.col("doc") == F.col("key"))
+    return found.dropDuplicates(["doc"]).select("text", "label")
 
 
 def read_texts(rows: DataFrame, machine: Machine, *keep: str) -> DataFrame:

@@ -126,6 +126,17 @@ def test_texts_that_share_a_passage_all_teach(spark):
     assert len(got) >= 20 and {label for _, label in got} == {0, 1}
 
 
+def test_sample_stays_bounded_where_ids_repeat(spark):
+    rows = [(1, f"text {i}") for i in range(400)] + [(1, "text 0")] * 50 + [(None, "x"), (2, "two")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)] * 20 + [(1, 0)] * 9 + [(2, 0), (None, 1)], "doc_id long, toxic int")
+    sample = lambda most: toxicity.training_sample(docs, labels, "text", "doc_id", "toxic", most).collect()
+    assert 10 <= len(sample(40)) <= 100
+    known = {i for i in (1, 2) if toxicity.fold_of(i)}
+    want = [(t, int(d == 1)) for d, t in {*rows} if d in known]
+    assert 1 in known and sorted(map(tuple, sample(10_000))) == sorted(want)
+
+
 def test_folds_are_those_of_crc32(spark):
     ids = spark.createDataFrame([(i,) for i in range(200)] + [(None,)], "doc_id long")
     for r in ids.select("doc_id", toxicity.held_out("doc_id").alias("out")).collect():
