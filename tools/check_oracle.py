@@ -35,15 +35,15 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def compare(spark, con, sf_dir: str, name: str) -> tuple[bool, str]:
+def compare(spark, con, sf_dir: str, name: str, queries=QUERIES, oracle=ORACLE) -> tuple[bool, str]:
     started = time.time()
-    frame = QUERIES[name](spark, sf_dir)
+    frame = queries[name](spark, sf_dir)
     got = frame.collect()
     spark_seconds = time.time() - started
-    if name not in ORACLE:
+    if name not in oracle:
         return True, f"{len(got)} rows, no SQL twin, {spark_seconds:.1f}s"
     started = time.time()
-    relation = con.sql(ORACLE[name])
+    relation = con.sql(oracle[name])
     want = relation.fetchall()
     sql_seconds = time.time() - started
     columns = sorted(frame.columns)
