@@ -22,8 +22,7 @@ def test_query_equals_its_twin(spark, name):
     sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", "..", "tools"))
     import check_oracle
 
-    check_oracle.QUERIES, check_oracle.ORACLE = QUERIES, ORACLE
-    ok, note = check_oracle.compare(spark, check_oracle.connect(SMALL), SMALL, name)
+    ok, note = check_oracle.compare(spark, check_oracle.connect(SMALL), SMALL, name, QUERIES, ORACLE)
     assert ok, note
 
 
