@@ -31,14 +31,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/llm-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back.
+def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """``df`` written to the shared folder, in a folder per value of ``by``, and read back.
 
     What is read several times is computed once, the lineage is cut, and a lost executor takes
     nothing with it.
     """
     path = new_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").parquet(path, partitionBy=by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from stockmart.llm import (
     decontaminate,
     exact_dedup,
+    line_dedup,
+    merkle,
     packing,
     quality,
     simhash,
@@ -93,3 +95,13 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages")).drop("score")
+
+
+@query
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"))

@@ -125,3 +125,80 @@ select p.page_id, p.host, p.path, u.rule,
 from pages_in p join urls u using (host, path) join scored s using (host, path)
 """
 )
+
+
+ORACLE["op12_line_dedup"] = r"""
+with docs as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+split_up as (select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as place from docs),
+keyed as (
+    select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+    from split_up),
+repeated as (
+    select key, max(doc_id) as keeper from keyed where length(key) >= 20
+    group by key having count(distinct doc_id) >= 3),
+marked as (
+    select k.*, r.key is not null and k.doc_id <> r.keeper as gone
+    from keyed k left join repeated r using (key))
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) order by place) filter (not gone), '')) as kept_sha256
+from marked group by doc_id
+"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::varchar)::varchar || ':' || {value}::varchar, '-')"
+
+
+def _leaf(n_chars: str = "n_chars") -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+#: One level up over a list of nodes, and a checksum of decimal digits, bit by bit.
+_PAIRS = "list_transform(range(0, len(nodes), 2), lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')))"
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295, flatten(list_transform(string_split(doc_id::varchar, ''),
+        lambda c: [1000 + ascii(c), 0, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda crc, x: case when x > 0 then xor(crc, x - 1000)
+        else xor(crc >> 1, (crc & 1) * 3988292384) end))"""
+
+ORACLE["op13_merkle_manifest"] = f"""
+with recursive rows_in as (
+    select doc_id, coalesce('=' || lang, '') as tree, {_leaf()} as leaf,
+        case when {_CRC32} % 7 = 0 then {_leaf("(n_chars + 1)")} else {_leaf()} end as start
+    from documents),
+leaves as (select *, row_number() over (partition by tree order by doc_id) - 1 as pos from rows_in),
+levels as (
+    select tree, 0 as level, list(leaf order by pos) as nodes from leaves group by tree
+    union all
+    select tree, level + 1, {_PAIRS} from levels where len(nodes) > 1),
+subroots as (
+    select tree, level as height, nodes[1] as subroot, row_number() over (order by tree) - 1 as pos
+    from levels where len(nodes) = 1),
+top as (
+    select 0 as level, list(subroot order by pos) as nodes from subroots
+    union all
+    select level + 1, {_PAIRS} from top where len(nodes) > 1),
+steps as (
+    select l.doc_id, t.level as place, (l.pos >> t.level) & 1 as side,
+        coalesce(t.nodes[xor(l.pos >> t.level, 1) + 1], '') as sibling
+    from leaves l join levels t using (tree) where len(t.nodes) > 1
+    union all
+    select l.doc_id, s.height + t.level, (s.pos >> t.level) & 1,
+        coalesce(t.nodes[xor(s.pos >> t.level, 1) + 1], '')
+    from leaves l join subroots s using (tree) cross join top t where len(t.nodes) > 1),
+proofs as (
+    select doc_id, list({{'side': side, 'sibling': sibling}} order by place) as path,
+        sha256(string_agg(sibling, '' order by place)) as proof_sha256
+    from steps group by doc_id),
+roots as (select nodes[1] as root from top where len(nodes) = 1),
+folded as (
+    select l.doc_id, l.leaf, s.subroot, r.root, coalesce(p.proof_sha256, sha256('')) as proof_sha256,
+        list_reduce(
+            list_prepend({{'side': 0::bigint, 'sibling': l.start}}, coalesce(p.path, [])),
+            lambda f, x: {{'side': 0::bigint, 'sibling': sha256(
+                case x.side when 1 then x.sibling || f.sibling else f.sibling || x.sibling end)}}
+        ).sibling as folded_root
+    from leaves l join subroots s using (tree) cross join roots r left join proofs p using (doc_id))
+select *, folded_root = root as verified from folded
+"""
