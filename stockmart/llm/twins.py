@@ -127,6 +127,47 @@ from pages_in p join urls u using (host, path) join scored s using (host, path)
 )
 
 
+ORACLE["op11_collocations"] = r"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, row_number() over () as id,
+        unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents),
+words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+places as (
+    select lang, w, unnest(range(1, len(w) + 1)) as s from words),
+spans as (
+    select lang, unnest([w[s], case when len(w) > s then w[s] || ' ' || w[s + 1] end,
+        case when len(w) > s + 1 then w[s] || ' ' || w[s + 1] || ' ' || w[s + 2] end]) as phrase
+    from places),
+counts as (
+    select lang, phrase, count(*) as f, string_split(phrase, ' ') as w
+    from spans where phrase is not null group by lang, phrase),
+totals as (select lang, sum(f)::bigint as n from counts where len(w) = 1 group by lang),
+cuts as (
+    select lang, phrase, w, f as a, unnest(range(1, len(w))) as k
+    from counts where len(w) > 1 and f >= 10),
+cut_scores as (
+    select c.*, x.f as l, y.f as r,
+        ((1000000::hugeint * a * a) // (x.f::hugeint * y.f))::bigint as score
+    from cuts c
+    join counts x on x.lang = c.lang and x.phrase = array_to_string(c.w[1 : k], ' ')
+    join counts y on y.lang = c.lang and y.phrase = array_to_string(c.w[k + 1 : len(c.w)], ' ')),
+scored as (
+    select * from cut_scores
+    qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+inner_parts as (
+    select lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) as phrase
+    from scored where len(w) = 3),
+covers as (select lang, phrase, max(a) as longer from inner_parts group by lang, phrase),
+free as (
+    select s.* from scored s left join covers c on c.lang = s.lang and c.phrase = s.phrase and len(s.w) = 2
+    where c.longer is null or 100 * c.longer < 50 * s.a),
+ranked as (
+    select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from free)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000
+"""
+
 ORACLE["op12_line_dedup"] = r"""
 with docs as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
 split_up as (select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as place from docs),
