@@ -23,7 +23,8 @@ from stockmart.plans import (
     stock_level,
     summary,
 )
-from stockmart.sources.facts import MONTH, FactTable, LoadResult, monthly_fact
+from stockmart.plans.balances import Balances
+from stockmart.sources.facts import MONTH, FactTable, LoadResult, history, monthly_fact
 from stockmart.sources.tables import TableSet
 
 log = logging.getLogger(__name__)
@@ -60,18 +61,24 @@ def load_stock_levels(
     execution_id: str | None = None,
     incremental: bool = False,
     archive: FactTable | None = None,
+    balances: Balances | None = None,
 ) -> LoadResult:
     """Stock level fact: every matched row is rewritten with the source values.
 
-    Records that ``archive`` holds are rewritten there.
+    Records that ``archive`` holds are rewritten, or removed, there. ``balances`` are brought up
+    to date with the months that changed.
     """
     params, enums = tables.na_params(), tables.enums(*enrich.ENUM_NAMES)
     source = stock_level.build(tables, params, enums, execution_id, incremental)
     stamp = {"ea_process_datetime": moment(now)}
-    return fact.merge(
+    result = fact.merge(
         source, ["record_id"], on_update=stamp, on_insert=stamp, archive=archive,
+        on_touch=None if balances is None else balances.mark,
         **_orphan_rules(tables["invent_trans"], "stock_level_key"),
     )
+    if balances is not None:
+        balances.settle(history(fact, archive), tables, params)
+    return result
 
 
 def load_inventory_value(
@@ -80,14 +87,15 @@ def load_inventory_value(
     now: dt.datetime,
     execution_id: str | None = None,
     incremental: bool = False,
+    archive: FactTable | None = None,
 ) -> LoadResult:
-    """Inventory value fact: only changed rows are updated and stamped."""
+    """Inventory value fact: only changed rows are updated and stamped, archived ones in place."""
     params, enums = tables.na_params(), tables.enums(*enrich.ENUM_NAMES)
     source = inventory_value.build(tables, params, enums, execution_id, incremental)
     return fact.merge(
         source, ["record_type", "record_id"], compare=schemas.VALUE_COMPARED,
         on_update={"ea_process_datetime": moment(now), "ea_is_deleted": F.lit(False)},
-        **_orphan_rules(tables["invent_trans"], "inventory_value_key"),
+        archive=archive, **_orphan_rules(tables["invent_trans"], "inventory_value_key"),
     )
 
 
@@ -116,9 +124,10 @@ def load_value_and_costs(
     now: dt.datetime,
     execution_id: str | None = None,
     incremental: bool = False,
+    archive: FactTable | None = None,
 ) -> LoadResult:
     """Both steps of the inventory value load; their affected rows add up."""
-    first = load_inventory_value(tables, fact, now, execution_id, incremental)
+    first = load_inventory_value(tables, fact, now, execution_id, incremental, archive)
     return first + refresh_sales_cost(tables, sales_orders, now, execution_id, incremental)
 
 
@@ -128,14 +137,15 @@ def load_settlements(
     now: dt.datetime,
     execution_id: str | None = None,
     incremental: bool = False,
+    archive: FactTable | None = None,
 ) -> LoadResult:
-    """Settlement fact: only changed rows are updated and stamped."""
+    """Settlement fact: only changed rows are updated and stamped, archived ones in place."""
     params, enums = tables.na_params(), tables.enums(*enrich.ENUM_NAMES)
     source = settlement.build(tables, params, enums, execution_id, incremental)
     return fact.merge(
         source, ["record_id"], compare=schemas.SETTLEMENT_COMPARED,
         on_update={"ea_process_datetime": moment(now), "ea_is_deleted": F.lit(False)},
-        **_orphan_rules(tables["invent_settlement"], "inventory_settlement_key"),
+        archive=archive, **_orphan_rules(tables["invent_settlement"], "inventory_settlement_key"),
     )
 
 
@@ -157,17 +167,23 @@ def build_monthly_summary(
     types: str = "counted",
     level: str = "latest",
     archive: FactTable | None = None,
+    balances: Balances | None = None,
 ) -> LoadResult:
     """Monthly summary of one period, merged into the partition of that month.
 
     By default every key gets one row (see :func:`stockmart.plans.summary.build_history`). With
     ``ties`` the one-month definition with its tie handling is used instead; if that yields
-    several rows for a merge key, the load stops. Levels need all history: where detail has been
+    several rows for a merge key, the load stops. With ``balances`` the month is built from its own
+    rows and the balances before it. Without them levels need all history: where detail has been
     moved to ``archive``, its rows are read as well.
     """
     common = {"types": types, "month_column": MONTH}
-    rows = fact.read() if archive is None else fact.read().unionByName(archive.read())
-    if ties is None:
+    rows = history(fact, archive)
+    if ties is None and balances is not None:
+        balances.settle(rows, tables, params)
+        opening = balances.before(period)
+        source = summary.build_month(rows, opening, tables, params, period, now, level, **common)
+    elif ties is None:
         source = summary.build_history(
             rows, tables, params, now, first=period, last=period, level=level, **common
         )
@@ -185,6 +201,10 @@ def archive_detail(
     fact: FactTable, target: FactTable, today: dt.date, params: NaParams,
     months: int = retention.DETAIL_MONTHS, keys: tuple[str, ...] = ("record_id",),
 ) -> int:
-    """Move detail older than ``months`` months to the archive table; undated rows stay."""
+    """Move detail older than ``months`` months to the archive table; undated rows stay.
+
+    ``keys`` are those of the fact's merge. A move that is interrupted at any step is finished by
+    the next load or move; until then :func:`stockmart.sources.facts.history` reads each row once.
+    """
     limit = retention.cutoff(today, months)
     return fact.archive_before(target, limit, keys, params.na_datetime.date())

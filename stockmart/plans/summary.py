@@ -240,3 +240,58 @@ def build_history(
     dates = tables["dim_date"].select("calendar_date", F.col("date_id").alias("date_key"))
     df = df.join(dates, F.col("_end") == F.col("calendar_date"), "left")
     return with_indicators(df, params, now)
+
+
+def month_levels(rows: DataFrame, tables: Mapping[str, DataFrame], params: NaParams) -> DataFrame:
+    """One row per key and month with rows: its latest date, that date's levels, and the sums of
+    the month as ``month_`` columns. Keys are checked as in :func:`build_history`."""
+    days = daily_totals(rows, FACT_KEYS, DATE, LEVELS)
+    days = _unknown_for_null(confirm_keys(days, tables), params)
+    days = daily_totals(days, KEYS, DATE, LEVELS)
+    return days.groupBy(*KEYS, F.trunc(DATE, "month").alias("_month")).agg(
+        F.max(DATE).alias("level_date"),
+        *[F.max_by(m, F.col(DATE)).alias(m) for m in LEVELS],
+        *[qty(F.sum(m)).alias(f"month_{m}") for m in LEVELS],
+    )
+
+
+def build_month(
+    fact: DataFrame,
+    opening: DataFrame,
+    tables: Mapping[str, DataFrame],
+    params: NaParams,
+    period: Period,
+    now: dt.datetime,
+    level: str = "latest",
+    types: str = "counted",
+    month_column: str | None = None,
+) -> DataFrame:
+    """The month of :func:`build_history` from its own rows and ``opening``, the balances before it.
+
+    ``opening`` has at most one row per key, with the levels and, as ``total_`` columns, the sums
+    since the start of time; see :mod:`stockmart.plans.balances`. No other rows of the fact are read.
+    """
+    if level not in ("latest", "running"):
+        raise ValueError("level must be 'latest' or 'running'")
+    rows = _within(_within(fact, None, period, month_column), period, None, month_column)
+    prefix = "" if level == "latest" else "total_"
+    before = opening.select(*KEYS, *[F.col(f"{prefix}{m}").alias(f"bom_{m}") for m in LEVELS])
+    zero = F.lit(0).cast("decimal(18,4)")
+
+    def close(m: str) -> Column:
+        if level == "latest":
+            return F.col(m)
+        return qty(F.coalesce(F.col(f"bom_{m}"), zero) + F.col(f"month_{m}"))
+
+    months = month_levels(rows, tables, params).join(before, list(KEYS), "left")
+    months = months.select(
+        *KEYS, *schemas.BOM_LEVELS, *[close(m).alias(f"eom_{m}") for m in LEVELS]
+    )
+    moved = movements(_unknown_for_null(confirm_keys(rows, tables), params), KEYS, types)
+    df = months.join(moved, list(KEYS), "left").withColumns({
+        "year": F.lit(period.year), "month": F.lit(period.month),
+        "date_key": constant(
+            dims.constant_key(tables["dim_date"], "calendar_date", period.end, "date_id"), "bigint"
+        ),
+    })
+    return with_indicators(df, params, now)

@@ -818,6 +818,20 @@ from history_summary where year = 1998 and month = 6 group by 1""")
 ORACLE["load_stock_levels"] = statement(
     "select *, true as has_key from stock_fact where record_id % 7 <> 0", STOCK_NAMES,
     ["transaction_date", "inventory_date", "status_date"])
+ORACLE["stream_over_archive"] = statement(
+    "select *, true as has_key from stock_fact", STOCK_NAMES,
+    ["transaction_date", "inventory_date", "status_date"])
+_SUM_LEVELS = ", ".join(f"sum(c.{m}) as {m}" for m in LEVELS)
+ORACLE["monthly_balances"] = statement(f"""
+select cast(strftime(m.month_start, '%Y%m') as bigint) as balance_month, count(*) as keys,
+  {_SUM_LEVELS}, {', '.join(f'any_value(m.total_{x}) as total_{x}' for x in LEVELS)}
+from (select month_start,
+             {', '.join(f'sum(sum({x})) over (order by month_start) as total_{x}' for x in LEVELS)}
+      from known group by month_start) m
+join (select *, lead(month_start) over (partition by {K6} order by month_start) as until
+      from closes) c
+  on c.month_start <= m.month_start and (c.until is null or c.until > m.month_start)
+group by m.month_start""", [*LEVELS, *[f"total_{x}" for x in LEVELS]])
 ORACLE["load_inventory_value"] = statement(
     "select *, true as has_key from value_fact where record_id % 7 <> 0",
     _VALUE_AMOUNTS, _VALUE_MOMENTS, whole=["record_type"])

@@ -32,10 +32,13 @@ from stockmart.plans import (
     stock_level,
     summary,
 )
+from stockmart.plans.balances import Balances
+from stockmart.schemas import BALANCE_MONTH, LEVELS
 from stockmart.session import session_dir
-from stockmart.sources.facts import MONTH
+from stockmart.sources.facts import MONTH, history
 from stockmart.sources.star_views import star_tables
 from stockmart.sources.tables import TableSet, incremental
+from stockmart.streaming import incremental as streaming
 
 PERIOD = Period(1998, 6)
 NOW = dt.datetime(2001, 8, 15)
@@ -442,13 +445,14 @@ def monthly_summary_after_archive(c: Context) -> DataFrame:
 
 
 def _stored_summary(c: Context):
-    """June and July 1998 in a stored summary; June is built twice."""
-    (target,) = _tables_of(c, "summary", jobs.summary_table)
+    """June and July 1998 in a stored summary, from balances; June is built twice."""
+    target, held = _tables_of(c, "summary", jobs.summary_table, Balances)
     name = hashlib.md5(c.sf_dir.encode()).hexdigest()[:12]
-    c.stock_fact()
+    rows = c.stock_fact()
     fact = jobs.stock_level_table(c.spark, f"{session_dir(c.spark)}/{name}/stock_level")
+    held.rebuild(rows, c.tables, c.params)
     for period in (PERIOD, Period(1998, 7), PERIOD):
-        jobs.build_monthly_summary(c.tables, c.params, fact, target, period, NOW)
+        jobs.build_monthly_summary(c.tables, c.params, fact, target, period, NOW, balances=held)
     return target
 
 
@@ -464,20 +468,66 @@ def dq_negatives_period(c: Context) -> DataFrame:
     return quality.negatives(_stored_summary(c).rows(), PERIOD)
 
 
-# Loads: two thirds of the source with other values first, then a source without every seventh row.
+# Loads: all rows with other values first, then as they are, but for some that count as gone.
+
+
+def _other_values(rows: DataFrame, measure: str) -> DataFrame:
+    return rows.withColumn(measure, (F.col(measure) + 1).cast(rows.schema[measure].dataType))
+
+
+def _gone(rows: DataFrame) -> DataFrame:
+    """Every seventh record without a company, and without a status where it has one."""
+    lost = F.col("rec_id") % 7 == 0
+    blank = {"data_area_id": F.lit(None), "status_issue": F.lit(0), "status_receipt": F.lit(0)}
+    return rows.withColumns({
+        name: F.when(lost, value.cast(rows.schema[name].dataType)).otherwise(F.col(name))
+        for name, value in blank.items() if name in rows.columns
+    })
 
 
 def _load_twice(c: Context, make, load, source: str, measure: str, key: str) -> DataFrame:
     (fact,) = _tables_of(c, "load", make)
     rows = c.tables[source]
-    early = rows.filter(F.col("rec_id") % 3 != 0).withColumn(
-        measure, (F.col(measure) + 1).cast(rows.schema[measure].dataType)
-    )
-    late = rows.filter(F.col("rec_id") % 7 != 0)
-    for state in (early, late):
+    for state in (_other_values(rows, measure), _gone(rows)):
         load(c.tables.replacing(**{source: state}), fact, NOW)
-    stored = fact.rows().withColumn("has_key", F.col(key) > 0)
-    return stored.drop(key, "ea_process_datetime", "ea_is_deleted")
+    return _with_key(fact.rows(), key)
+
+
+def _with_key(rows: DataFrame, key: str) -> DataFrame:
+    rows = rows.withColumn("has_key", F.col(key) > 0)
+    return rows.drop(key, "ea_process_datetime", "ea_is_deleted")
+
+
+@query
+def stream_over_archive(c: Context) -> DataFrame:
+    """Detail and archive after a load, a move to the archive, a second load without some records,
+    and a stream that brings all records."""
+    fact, cold = _tables_of(c, "stream", jobs.stock_level_table, jobs.stock_level_table)
+    rows = c.tables["invent_trans"]
+    first = c.tables.replacing(invent_trans=_other_values(rows, "qty"))
+    jobs.load_stock_levels(first, fact, NOW, archive=cold)
+    jobs.archive_detail(fact, cold, NOW.date(), c.params)
+    second = c.tables.replacing(invent_trans=_gone(rows))
+    jobs.load_stock_levels(second, fact, NOW, archive=cold)
+    landing = f"{session_dir(c.spark)}/landing-{uuid.uuid4().hex}"
+    rows.repartition(2).write.parquet(f"{landing}/in")
+    stream = c.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{landing}/in")
+    running = streaming.start(stream, c.tables, fact, f"{landing}/state", clock=lambda: NOW, archive=cold)
+    running.awaitTermination()
+    return _with_key(history(fact, cold).select(*fact.schema.names), "stock_level_key")
+
+
+@query
+def monthly_balances(c: Context) -> DataFrame:
+    """Balances of all months, kept up to date by a load and by one that corrects all its rows."""
+    fact, held = _tables_of(c, "balances", jobs.stock_level_table, Balances)
+    rows = c.tables["invent_trans"]
+    for state in (_other_values(rows, "qty"), rows):
+        jobs.load_stock_levels(c.tables.replacing(invent_trans=state), fact, NOW, balances=held)
+    return held.closes.rows().groupBy(BALANCE_MONTH).agg(
+        F.count(F.lit(1)).alias("keys"),
+        *[F.sum(m).alias(m) for p in ("", "total_") for m in (f"{p}{x}" for x in LEVELS)],
+    )
 
 
 @query

@@ -63,6 +63,18 @@ MOVEMENT_SUMMARY = _struct(
 SUMMARY_KEYS = ("year", "month", "company_key", "product_key", "product_inventory_key",
                 "inventory_dimension_key", "warehouse_key")
 
+BALANCE_MONTH = "balance_month"
+_BALANCE_KEYS = _each(KEY, "company_key", "product_key", "product_inventory_key",
+                      "inventory_dimension_key", "inventory_size_key", "warehouse_key")
+MONTH_ACTIVITY = _struct(
+    *_BALANCE_KEYS, (BALANCE_MONTH, T.IntegerType()), ("level_date", MOMENT), *_each(QTY, *LEVELS),
+    *_each(QTY, *[f"month_{m}" for m in LEVELS]),
+)
+MONTH_BALANCE = _struct(
+    *_BALANCE_KEYS, (BALANCE_MONTH, T.IntegerType()), ("level_date", MOMENT), *_each(QTY, *LEVELS),
+    *_each(QTY, *[f"total_{m}" for m in LEVELS]),
+)
+
 _VALUE_KEYS = ("company_key", "product_key", "inventory_dimension_key")
 _VALUE_TEXT = ("issue_status", "receipt_status", "transaction_type", "inventory_reference",
                "inventory_unit", "posting_type", "voucher_number")

@@ -24,6 +24,8 @@ class LoadResult:
     updated: int = 0
     unchanged: int = 0
     deleted: int = 0
+    #: Partition values that were rewritten; no part of what two results are compared by.
+    partitions: frozenset = field(default=frozenset(), compare=False)
 
     @property
     def rows(self) -> int:
@@ -34,6 +36,7 @@ class LoadResult:
         return LoadResult(
             self.inserted + other.inserted, self.updated + other.updated,
             self.unchanged + other.unchanged, self.deleted + other.deleted,
+            self.partitions | other.partitions,
         )
 
 
@@ -42,10 +45,21 @@ def month_of(column: str) -> Column:
     return F.coalesce(F.year(column) * 100 + F.month(column), F.lit(0))
 
 
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a work folder made by a merge."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    folder, files = _file_system(spark, path)
+    files.delete(folder, True)
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a job has finished writing the folder."""
+    done, files = _file_system(spark, f"{path}/_SUCCESS")
+    return files.exists(done)
 
 
 @dataclass(frozen=True)
@@ -104,16 +118,18 @@ class FactTable:
 
     def _only(self, df: DataFrame, values: set[tuple]) -> DataFrame:
         """Rows of the given partitions, as a filter on partition columns that prunes the scan."""
-        test = F.lit(False)
+        return df.filter(self._held(values))
+
+    def _held(self, values: set[tuple]) -> Column:
         if len(self.partition_columns) == 1:
-            test = F.col(self.partition_columns[0]).isin([v[0] for v in values])
-        else:
-            for value in values:
-                same = F.lit(True)
-                for c, v in zip(self.partition_columns, value):
-                    same = same & (F.col(c) == F.lit(v))
-                test = test | same
-        return df.filter(test)
+            return F.col(self.partition_columns[0]).isin([v[0] for v in values])
+        test = F.lit(False)
+        for value in values:
+            same = F.lit(True)
+            for c, v in zip(self.partition_columns, value):
+                same = same & (F.col(c) == F.lit(v))
+            test = test | same
+        return test
 
     def merge(
         self,
@@ -126,28 +142,33 @@ class FactTable:
         insert: bool = True,
         gone: Callable[[DataFrame], DataFrame] | None = None,
         archive: FactTable | None = None,
+        on_touch: Callable[[set[tuple]], None] | None = None,
     ) -> LoadResult:
         """Merge ``source`` and rewrite the partitions that hold touched rows.
 
         ``gone`` returns the rows of a frame whose source record no longer exists; with it these
         orphans are removed in the same rewrite. Source rows whose key ``archive`` holds are merged
-        there, without inserts, so that an archived record does not come back. The steps read and
-        write shared storage, so lost executors only repeat tasks:
+        there, without inserts, so that an archived record does not come back, and orphans are
+        removed there as well. A move to the archive that was interrupted is finished first.
+        ``on_touch`` is told the partitions before they change. The steps read and write shared
+        storage, so lost executors only repeat tasks:
 
         1. the source is written once, since several steps read it;
         2. touched partitions are those of source rows, of their old rows, and of orphans;
         3. the merged partitions are written to the work folder, because the table is still read;
         4. new surrogate keys are added and the partitions are overwritten from there.
         """
+        if archive is not None:
+            archive.finish_move(self)
         scratch = self._scratch()
         try:
             return self._merge(scratch, source, keys, compare, on_update, on_insert,
-                               update_columns, insert, gone, archive)
+                               update_columns, insert, gone, archive, on_touch)
         finally:
             remove_folder(self.spark, scratch)
 
     def _merge(self, scratch, source, keys, compare, on_update, on_insert, update_columns, insert,
-               gone, archive) -> LoadResult:
+               gone, archive, on_touch) -> LoadResult:
         placed = self._placed(source) if set(self.partition_by) - set(source.columns) else source
         placed.write.mode("error").parquet(f"{scratch}/source")
         staged = self.spark.read.parquet(f"{scratch}/source")
@@ -159,7 +180,8 @@ class FactTable:
             staged.join(known, list(keys), "left_semi").write.parquet(f"{scratch}/archived")
             cold = self.spark.read.schema(staged.schema).parquet(f"{scratch}/archived")
             archived = archive.merge(
-                cold, keys, compare, on_update, update_columns=update_columns, insert=False
+                cold, keys, compare, on_update, update_columns=update_columns, insert=False,
+                gone=gone, on_touch=on_touch,
             )
             staged = staged.join(cold.select(*keys), list(keys), "left_anti")
 
@@ -177,6 +199,8 @@ class FactTable:
             touched |= self._partitions(orphans)
         if not touched:
             return archived
+        if on_touch is not None:
+            on_touch(touched)
 
         before = self._only(current, touched)
         deleted = 0
@@ -203,7 +227,7 @@ class FactTable:
         self._overwrite(final.drop(*_TAGS), touched, self._partitions(self._placed(written)))
         return archived + LoadResult(
             counts.get(merge.INSERT, 0), counts.get(merge.UPDATE, 0),
-            counts.get(merge.UNCHANGED, 0), deleted,
+            counts.get(merge.UNCHANGED, 0), deleted, frozenset(touched),
         )
 
     def _overwrite(self, rows: DataFrame, touched: set[tuple], filled: set[tuple]) -> None:
@@ -222,15 +246,47 @@ class FactTable:
                 self._folder(values)
             )
 
+    def replace_partitions(self, rows: DataFrame, values: set[tuple]) -> None:
+        """The given partitions hold ``rows`` and nothing else from now on."""
+        scratch = self._scratch()
+        try:
+            rows.write.parquet(scratch)
+            staged = self.spark.read.schema(rows.schema).parquet(scratch)
+            self._overwrite(staged, values, self._partitions(self._placed(staged)))
+        finally:
+            remove_folder(self.spark, scratch)
+
+    # Moving old partitions to an archive --------------------------------------------------------
+
+    @property
+    def _move(self) -> str:
+        """Folder of a move into this table: its ``rows``, and then ``partitions``, its commit."""
+        return self.path.rstrip("/") + "__move"
+
+    def moving(self) -> set[tuple]:
+        """Partitions of a move into this table that is committed and not finished."""
+        if not is_written(self.spark, f"{self._move}/partitions"):
+            return set()
+        return {tuple(r) for r in self.spark.read.parquet(f"{self._move}/partitions").collect()}
+
+    def _moved_rows(self) -> DataFrame:
+        return self.spark.read.schema(self.stored_schema()).parquet(f"{self._move}/rows")
+
     def archive_before(
         self, archive: FactTable, limit: dt.date, keys: Sequence[str], undated: dt.date
     ) -> int:
         """Move whole months before ``limit`` to another table of the same layout.
 
-        Rows already archived for those months are kept; a repeated run after a failure finds its
-        own rows again by their merge keys. The month of ``undated``, the date that stands for no
-        date, stays. Returns the rows those months now hold in the archive.
+        The month of ``undated``, the date that stands for no date, stays. Rows that the archive
+        has of those months are kept, but for records that the detail holds as well. Returns the
+        rows those months now have in the archive.
+
+        The new content of the archive's months is staged beside it, and then committed by a list
+        of the months. Until that list is complete nothing has happened. From then on
+        :func:`history` reads the staged rows for those months, and the move is finished by
+        whichever load or move comes next, by steps that can be repeated.
         """
+        archive.finish_move(self)
         (column,) = self.partition_columns
         first_kept, no_date = (d.year * 100 + d.month for d in (limit, undated))
         month = F.col(column)
@@ -238,18 +294,39 @@ class FactTable:
         moved = self._partitions(old)
         if not moved:
             return 0
-        scratch = self._scratch()
-        try:
-            earlier = self._only(archive.read(), moved)
-            old.unionByName(earlier).dropDuplicates(list(keys)).write.parquet(scratch)
-            staged = self.spark.read.parquet(scratch)
-            archive._overwrite(staged.select(*self.schema.names), moved, moved)
-            rows = staged.count()
-            self._empty(moved)
-        finally:
-            remove_folder(self.spark, scratch)
+        remove_folder(self.spark, archive._move)  # what is left of a move without a commit
+        earlier = archive._only(archive.read(), moved)
+        kept = earlier.join(old.select(*keys), list(keys), "left_anti")
+        old.unionByName(kept).write.parquet(f"{archive._move}/rows")
+        rows = archive._moved_rows().count()
+        listed = self.spark.createDataFrame(sorted(moved), ", ".join(f"{c} int" for c in self.partition_columns))
+        listed.write.parquet(f"{archive._move}/partitions")
+        archive.finish_move(self)
         return rows
 
+    def finish_move(self, source: FactTable) -> None:
+        """Finish a committed move of partitions from ``source`` into this table, if there is one."""
+        moved = self.moving()
+        if not moved:
+            return
+        rows = self._moved_rows()
+        self._overwrite(rows.select(*self.schema.names), moved, self._partitions(rows))
+        source._empty(moved)
+        # The commit goes first, so that the rows are never read without it.
+        remove_folder(self.spark, f"{self._move}/partitions")
+        remove_folder(self.spark, self._move)
+
+
+def history(fact: FactTable, archive: FactTable | None = None) -> DataFrame:
+    """All rows of detail and archive, each once, also in the middle of a move between them."""
+    if archive is None:
+        return fact.read()
+    moved = archive.moving()
+    if not moved:
+        return fact.read().unionByName(archive.read())
+    detail, cold = (t.read().filter(~t._held(moved)) for t in (fact, archive))
+    return detail.unionByName(cold).unionByName(archive._moved_rows())
+
 
 # Derived partition column of the transaction facts.
 MONTH = "transaction_month"
