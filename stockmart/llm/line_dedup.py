@@ -90,9 +90,10 @@ class LineRuns:
     def _union(self, names: list[str]) -> DataFrame:
         """The tables' rows, read as files: a union of bucketed tables counts as bucketed to Spark,
         which then groups it without a shuffle although it doesn't read the buckets in turn."""
-        rows = self.spark.read.parquet(self.tables[names[0]])
-        for name in names[1:]:
-            rows = rows.unionByName(self.spark.read.parquet(self.tables[name]))
+        schema = self.spark.table(names[0]).schema
+        rows = self.spark.createDataFrame([], schema)
+        for name in names:
+            rows = rows.unionByName(self.spark.read.schema(schema).parquet(self.tables[name]))
         return rows
 
     def _compact(self, level: int) -> None:
@@ -118,9 +119,10 @@ def _dealt(docs: DataFrame, text_col: str, id_col: str, min_length: int, batches
     spark = docs.sparkSession
     parts = max(batches, int(spark.conf.get("spark.sql.shuffle.partitions")))
     hashes = line_hashes(text_of(text_col), min_length)
+    rows = docs.select(row_key(id_col, text_col).alias("row"), hashes.alias("hashes"))
+    # Stored first: finding the ranges reads the rows once more.
     return stored(
-        docs.select(row_key(id_col, text_col).alias("row"), hashes.alias("hashes"))
-        .select("row.id", "row.digest", "hashes")
+        stored(rows.select("row.id", "row.digest", "hashes"), "line-hashes-read")
         .repartitionByRange(parts, F.desc_nulls_last("id"), "digest")
         .withColumn("batch", F.floor(F.spark_partition_id() * F.lit(batches) / F.lit(parts)).cast("int")),
         "line-hashes",
@@ -184,7 +186,8 @@ def line_dedup(
     runs.drop()
     rows = docs.select(row_key(id_col, text_col).alias("row"), text_of(text_col).alias("text"))
     same = rows["row.id"].eqNullSafe(gone["id"]) & (rows["row.digest"] == gone["digest"])
-    whole = rows.join(gone, same, "left").select("row", "text", "n_dropped", "flags")
+    # As many rows lose lines as the corpus has: merged at every size.
+    whole = rows.join(gone.hint("merge"), same, "left").select("row", "text", "n_dropped", "flags")
     stays = F.filter(
         split_lines(F.col("text")),
         lambda line, at: F.substring(F.col("flags"), at + 1, F.lit(1)) != F.lit(b"1"),
