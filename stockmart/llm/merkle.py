@@ -6,8 +6,8 @@ nodes, the siblings on the way up. Each stored node row therefore links to its a
 levels above, or to the end of its tree. A recursive query then climbs for each leaf: it appends
 the siblings of a link to the proof, folds the leaf's hash over them, and goes on at the ancestor.
 
-Near the top all leaves meet the same few nodes. The rows above the first links are therefore
-repeated per block of ``4 ** SPAN`` leaves, so no key of the recursive join has more leaves than a
+Near the top all leaves meet the same few nodes. Links over more than a block of ``2 ** BLOCK``
+leaves are therefore repeated per block, so no key of the recursive join has more leaves than a
 block, and there are as many such rows as blocks times links.
 """
 
@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from stockmart.llm.common import stored
 
-SPAN = 6
+SPAN = 8
+BLOCK = 12
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 TAMPER = 7
 TOP, END = "top", "end"
@@ -168,20 +169,21 @@ FOLD = """aggregate({steps}, {hash}, (f, s) -> sha2(case left(s, 1)
 SIBLINGS = "unhex(array_join(transform(filter({steps}, s -> s <> '-'), s -> substr(s, 2)), ''))"
 CLIMB = f"""
 with recursive climb as (
-    select doc_id, leaf, tree, block, up as node, {FOLD.format(steps="steps", hash="start")} as hash,
+    select doc_id, unhex(leaf) as leaf, tree, block, up as node, {FOLD.format(steps="steps", hash="start")} as hash,
         {SIBLINGS.format(steps="steps")} as proof
     from {{first}}
     union all
-    select c.doc_id, c.leaf, c.tree, c.block, l.up, {FOLD.format(steps="l.steps", hash="c.hash")},
+    select /*+ merge(l) */ c.doc_id, c.leaf, c.tree, c.block, l.up, {FOLD.format(steps="l.steps", hash="c.hash")},
         concat(c.proof, {SIBLINGS.format(steps="l.steps")})
     from climb c join {{ladder}} l on c.tree = l.tree and c.block = l.block and c.node = l.node)
-select doc_id, leaf, tree, proof, hash as folded_root from climb where node = '{END}'
+select doc_id, lower(hex(leaf)) as leaf, tree, proof, hash as folded_root from climb where node = '{END}'
 """
 
 
 def manifest(docs: DataFrame, span: int = SPAN) -> tuple[list[DataFrame], DataFrame, list[DataFrame]]:
     """The stored pages of the languages' trees, the ranked subroots, and the pages of the top tree."""
-    nodes = ranked(leaves(docs), "tree", ["doc_id", "leaf"]).withColumnRenamed("leaf", "hash")
+    # Stored first: finding the ranges of the sort reads the rows once more.
+    nodes = ranked(stored(leaves(docs), "merkle-leaves"), "tree", ["doc_id", "leaf"]).withColumnRenamed("leaf", "hash")
     steps = climb_trees(nodes, span, "merkle-pages", ("doc_id", "start"))
     subroots = tops(steps).withColumn("one", F.lit(TOP))
     subroots = stored(ranked(subroots, "one", ["tree"]), "merkle-subroots")
@@ -189,23 +191,30 @@ def manifest(docs: DataFrame, span: int = SPAN) -> tuple[list[DataFrame], DataFr
     return steps, subroots, climb_trees(above, span, "merkle-top")
 
 
-def ladder(steps: list[DataFrame], subroots: DataFrame, above: list[DataFrame], span: int) -> tuple[DataFrame, DataFrame]:
-    """The leaves' own links, and all links above them, the latter per block of leaves."""
-    rank = subroots.select("tree", node_name(F.lit(TOP), 0, F.col("pos")).alias("after"))
-    tree_links = [links(p.join(rank, "tree"), F.col("after")) for p in steps]
-    first = tree_links[0].withColumn("block", F.shiftright("pos", 2 * span))
-    sizes = steps[0].select("tree", F.shiftright("page", span).alias("block")).distinct()
+def ladder(
+    steps: list[DataFrame], subroots: DataFrame, above: list[DataFrame], span: int, block: int
+) -> tuple[DataFrame, DataFrame]:
+    """The leaves' own links, and all links above them, those over whole blocks once per block."""
+    rank = subroots.select("tree", "total", node_name(F.lit(TOP), 0, F.col("pos")).alias("after"), "pos")
+    tree_links = [links(p.drop("total").join(rank.drop("pos"), "tree"), F.col("after")) for p in steps]
+    first = tree_links[0].withColumn("block", F.shiftright("pos", block))
+    sizes = stored(
+        steps[0].select("tree", F.explode(F.sequence(
+            F.shiftright(F.shiftleft("page", span), block),
+            F.shiftright(F.shiftleft(F.col("page") + 1, span) - 1, block),
+        )).alias("block")).distinct(),
+        "merkle-blocks",
+    )
     out = sizes.sparkSession.createDataFrame([], "tree string, block long, node string, steps array<string>, up string")
     names = out.columns
     for step, rows in enumerate(tree_links[1:], 1):
-        if step == 1:
-            rows = rows.withColumn("block", F.shiftright("pos", span))
+        if span * step <= block:
+            rows = rows.withColumn("block", F.shiftright("pos", block - span * step))
         else:
-            held = sizes.withColumn("pos", F.shiftright("block", span * (step - 2)))
-            rows = rows.join(held, ["tree", "pos"])
+            rows = rows.join(sizes.withColumn("pos", F.shiftright("block", span * step - block)), ["tree", "pos"])
         out = out.unionByName(rows.select(*names))
     # A language's blocks all meet the links above its subroot.
-    homes = sizes.join(subroots.select("tree", "pos"), "tree")
+    homes = sizes.join(rank.select("tree", "pos"), "tree")
     for step, pages in enumerate(above):
         rows = links(pages, F.lit(END)).drop("tree")
         held = homes.withColumn("pos", F.shiftright("pos", span * step))
@@ -213,7 +222,7 @@ def ladder(steps: list[DataFrame], subroots: DataFrame, above: list[DataFrame],
     return first.select("nodes.doc_id", "nodes.start", F.col("nodes.hash").alias("leaf"), "tree", "block", "steps", "up"), out
 
 
-def verify(docs: DataFrame, span: int = SPAN) -> DataFrame:
+def verify(docs: DataFrame, span: int = SPAN, block: int = BLOCK) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, folded_root and verified for each row.
 
     The manifest is that of the rows as they are. Rows whose id's checksum ``TAMPER`` divides are
@@ -229,7 +238,7 @@ def verify(docs: DataFrame, span: int = SPAN) -> DataFrame:
         texts = ("leaf", "subroot", "root", "proof_sha256", "folded_root")
         return kept.select("*", *[F.lit("").alias(t) for t in texts], F.lit(True).alias("verified"))
     steps, subroots, above = manifest(docs, span)
-    first, rungs = ladder(steps, subroots, above, span)
+    first, rungs = ladder(steps, subroots, above, span, block)
     views = {name: f"merkle_{name}_{uuid.uuid4().hex}" for name in ("first", "ladder")}
     first.createOrReplaceTempView(views["first"])
     stored(rungs, "merkle-ladder").createOrReplaceTempView(views["ladder"])

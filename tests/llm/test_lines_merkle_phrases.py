@@ -133,11 +133,11 @@ def manifest_rows():
     return rows
 
 
-@pytest.mark.parametrize("span", [1, 2, 6])
-def test_manifest_equals_brute_force(spark, span):
+@pytest.mark.parametrize("span, block", [(1, 2), (2, 3), (3, 2), (8, 12)])
+def test_manifest_equals_brute_force(spark, span, block):
     rows = manifest_rows()
     docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, source string, lang string, n_chars long, text string, tree string, pos int")
-    got = merkle.verify(docs.repartition(4), span)
+    got = merkle.verify(docs.repartition(4), span, block)
     assert sorted(map(tuple, got.collect()), key=str) == brute_manifest(rows)
 
 
