@@ -21,6 +21,30 @@ from stockmart.llm.words import WordCache, Words
 VOCABULARY = "word_bpe_49k.json"
 
 
+LETTERS = np.isin(np.arange(256), [*range(65, 91), *range(97, 123)])
+BLANKS = np.isin(np.arange(256), [32, *range(9, 14)])
+
+
+def _marks_apart(texts: pa.Array) -> pa.Array:
+    """The texts with a space before a stop or comma that ends a word after an ASCII letter.
+
+    Such a mark is a token of its own, so the ids stay the same, and fewer words differ.
+    """
+    if not texts.buffers()[2]:
+        return texts
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
+    bounds = bounds - bounds[0]
+    marks = np.flatnonzero((data == ord(".")) | (data == ord(",")))
+    marks = marks[marks > 0]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[bounds] = True
+    ends = edge[marks + 1] | BLANKS[data[np.minimum(marks + 1, len(data) - 1)]]
+    marks = marks[LETTERS[data[marks - 1]] & ~edge[marks] & ends]
+    shifted = bounds + np.searchsorted(marks, bounds)
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(shifted), pa.py_buffer(np.insert(data, marks, 32)))
+
+
 class WordIds:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -32,21 +56,13 @@ class WordIds:
         self.cache = WordCache(self._encode)
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        """Stop marks at the end of a plain word are tokens of their own and not looked up anew."""
-        stems = {}
-        for w in words:
-            if w[-1:] in (",", ".") and w[-2:-1].isascii() and w[-2:-1].isalpha():
-                stems[w] = w[:-1]
-        plain = list(dict.fromkeys([*(w for w in words if w not in stems), *stems.values(), ",", "."]))
-        encoded = self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)
-        ids = {w: array("I", e.ids).tobytes() for w, e in zip(plain, encoded)}
-        return [ids[stems[w]] + ids[w[-1]] if w in stems else ids[w] for w in words]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def of(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, ``end`` after each, and the bounds of the texts."""
         special = pc.match_substring(texts, "<|")
         lower = pc.if_else(special, texts, pc.ascii_lower(texts))
-        words = Words(pc.ascii_split_whitespace(lower))
+        words = Words(pc.ascii_split_whitespace(_marks_apart(pc.cast(lower, pa.large_string()))))
         known = self.cache.look_up(words.distinct)
         # One more word, the end mark, after the words of each text.
         mark = len(known)

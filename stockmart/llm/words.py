@@ -29,16 +29,15 @@ class WordCache:
 
     def look_up(self, words: list[str]) -> list:
         """A value for each of the words, which are all different."""
-        get, old = self.young.get, self.old
-        found = [get(w) for w in words]
+        found = list(map(self.young.get, words))
+        missed = [i for i, value in enumerate(found) if value is None]
         new: list[int] = []
-        for i, value in enumerate(found):
+        for i in missed:
+            value = self.old.get(words[i])
             if value is None:
-                value = old.get(words[i])
-                if value is None:
-                    new.append(i)
-                else:
-                    found[i] = self.young[words[i]] = value
+                new.append(i)
+            else:
+                found[i] = self.young[words[i]] = value
         for i, value in zip(new, self.compute([words[i] for i in new]) if new else []):
             found[i] = self.young[words[i]] = value
         if len(self.young) > self.limit:
