@@ -25,7 +25,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cache, cached_property
 from itertools import combinations
 
 import numpy as np
@@ -59,6 +59,8 @@ _RUN = re.compile(r"(?<![^\t-\r ])[^\t-\r ](?:[\t-\r ]+[^\t-\r ]){2,}(?![^\t-\r
 PIECE, OVERLAP = 32, 12
 #: Strings whose subsequences are listed together, about 50 MB for the longest pieces.
 BATCH = 500
+#: Subsequences that are looked up together, about 1 MB of keys.
+CELLS = 1 << 18
 
 
 @dataclass
@@ -78,8 +80,22 @@ class Machine:
         table[self.used] = self.weights
         return table
 
+    @cached_property
+    def code_of(self) -> np.ndarray:
+        """The code of each code point."""
+        codes = np.zeros(0x110000, np.uint8)
+        codes[[ord(c) for c in self.alphabet]] = list(self.alphabet.values())
+        return codes
+
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "table"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("table", "code_of")}
+
+    def codes(self, strings: list[str], n: int) -> np.ndarray:
+        """The codes of strings of ``n`` characters each, between end marks: a column per string."""
+        points = np.frombuffer("".join(strings).encode("utf-32-le"), np.uint32)
+        codes = np.ones((n + 2, len(strings)), np.int32)
+        codes[1:-1] = self.code_of[points].reshape(len(strings), n).T
+        return codes
 
     def decide(self, strings: list[str]) -> list[float]:
         """Decision of each string; pieces of long ones count by their greatest."""
@@ -91,14 +107,26 @@ class Machine:
             pieces += parts
             owner += [i] * len(parts)
         out = np.full(len(strings), self.lowest)
-        order = np.argsort([len(p) for p in pieces], kind="stable")
-        for a in range(0, len(pieces), BATCH):
-            some = order[a : a + BATCH]
-            keys, weights = subsequences([pieces[i] for i in some], self.alphabet)
-            norm = np.sqrt(np.einsum("ij,ij->i", weights, weights))
-            value = np.einsum("ij,ij->i", self.table[keys], weights) / np.maximum(norm, 1e-12) - self.bias
-            value[norm == 0] = self.lowest
-            np.maximum.at(out, np.array(owner)[some], value)
+        sizes, owner = np.array([len(p) for p in pieces], np.int64), np.array(owner, np.int64)
+        for n in np.unique(sizes):
+            pairs, halves, weights = places_of(int(n) + 2)
+            rows = np.flatnonzero(sizes == n)
+            step = max(1, CELLS // max(1, len(weights)))
+            for a in range(0, len(rows) if len(weights) else 0, step):
+                some = rows[a : a + step]
+                codes = self.codes([pieces[i] for i in some], int(n))
+                pair = codes[pairs[0]] * ALPHABET + codes[pairs[1]]
+                keys = (pair * ALPHABET**2)[halves[0]]
+                keys += pair[halves[1]]
+                value = weights @ self.table.take(keys)
+                norm = np.full(len(some), np.sqrt(weights @ weights))
+                # Subsequences with a character outside the alphabet count for nothing.
+                if len(odd := np.flatnonzero((codes == 0).any(0))):
+                    known = codes[:, odd] > 0
+                    known = known[pairs[0]] & known[pairs[1]]
+                    norm[odd] = np.sqrt((weights * weights) @ (known[halves[0]] & known[halves[1]]))
+                value = np.where(norm > 0, value / np.maximum(norm, 1e-12) - self.bias, self.lowest)
+                np.maximum.at(out, owner[some], value)
         return out.tolist()
 
     def traits(self, words: Words, cache: WordCache) -> np.ndarray:
@@ -121,6 +149,18 @@ def pieces_of(string: str) -> list[str]:
     return [string[a : a + PIECE] for a in range(0, len(string) - OVERLAP, PIECE - OVERLAP)]
 
 
+@cache
+def places_of(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The subsequences of ``n`` characters, end marks among them: pairs of places, which two pairs make each, and its weight."""
+    pairs = [(i, j) for i in range(n) for j in range(i + 1, min(n, i + STRETCH))]
+    number = {p: k for k, p in enumerate(pairs)}
+    # One after the other they share their first pair.
+    at = sorted((a, a + b, a + c, a + d) for b, c, d in SHAPES for a in range(n - d))
+    halves = np.array([(number[w, x], number[y, z]) for w, x, y, z in at], np.int32).reshape(-1, 2).T
+    weights = np.array([DECAY ** (z - w + 1) for w, _, _, z in at], np.float32)
+    return np.array(pairs, np.int32).reshape(-1, 2).T, halves, weights
+
+
 def subsequences(strings: list[str], alphabet: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """Keys and weights of all subsequences of each string, padded with weight zero."""
     n = max(map(len, strings), default=0) + 2
@@ -224,17 +264,6 @@ def _squared_hinge(x: np.ndarray, sign: np.ndarray, share: np.ndarray, penalty:
     return w
 
 
-def _spread(vectors: np.ndarray, count: int, among: int) -> list[int]:
-    """Rows far from each other: the next one is the least similar to those chosen."""
-    if among == 0:
-        return []
-    chosen, nearest = [0], vectors[:among] @ vectors[0]
-    while len(chosen) < min(count, among):
-        chosen.append(int(np.argmin(nearest)))
-        nearest = np.maximum(nearest, vectors[:among] @ vectors[chosen[-1]])
-    return chosen
-
-
 def strings_of(texts: pa.Array) -> Words:
     """The strings of the texts' sentences: words, and letters that stand apart as one string."""
     lower = pc.utf8_lower(texts)
