@@ -87,12 +87,12 @@ def _digest(kept: list[bytes]) -> str:
 
 
 def _keyed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """Rows by id and a hash of the text, as ids may be null or repeated."""
-    doc = F.struct(F.col(id_col).cast("long").alias("id"), F.hash(text_of(text_col)).alias("digest"))
+    """Rows by id and a 64-bit hash of the text, as ids may be null or repeated."""
+    doc = F.struct(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_of(text_col)).alias("digest"))
     return docs.select(doc.alias("doc"), text_of(text_col).alias("text"))
 
 
-DOC = "doc struct<id: bigint, digest: int>"
+DOC = "doc struct<id: bigint, digest: bigint>"
 
 
 def minimisers(rows: DataFrame, window: int, piece: int) -> DataFrame:
@@ -232,7 +232,7 @@ def first_repeats(firsts: DataFrame, window: int) -> DataFrame:
 
     def taken(found: list[tuple]) -> pa.RecordBatch:
         doc = pa.StructArray.from_arrays(
-            [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int32())], ["id", "digest"]
+            [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["id", "digest"]
         )
         return pa.RecordBatch.from_arrays(
             [doc, pa.array([f[2] for f in found], pa.int32()), pa.array([1] * len(found), pa.int32())],

@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from stockmart.llm import substring_dedup
 
@@ -81,3 +82,15 @@ def test_super_kmers_cover_each_window_once():
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert substring_dedup.substring_dedup(docs).count() == 0
+
+
+def test_null_ids_with_texts_of_one_short_hash(spark):
+    """Texts that a 32-bit hash takes for one are documents of their own."""
+    shared = " ".join(f"shared{i}" for i in range(25))
+    texts = spark.range(300_000).select(F.concat(F.lit(shared + " end"), F.col("id").cast("string")).alias("text"))
+    alike = texts.groupBy(F.hash("text")).agg(F.collect_list("text").alias("texts")).where("size(texts) > 1")
+    pair = alike.orderBy(F.col("texts")[0]).first()["texts"][:2]
+    docs = spark.createDataFrame([(None, t) for t in pair], "doc_id long, text string")
+    got = substring_dedup.substring_dedup(docs).collect()
+    assert sorted(r.n_removed for r in got) == [0, 25]
+    assert {r.doc_id for r in got} == {None}
