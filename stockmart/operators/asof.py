@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockmart.functions.scalar import moment, qty
+from stockmart.functions.scalar import moment as moment_of
+from stockmart.functions.scalar import qty
 
 
 def daily_totals(
@@ -137,7 +138,7 @@ def validity_intervals(
     following = F.coalesce(F.col("p._next"), F.col("m._later"))
     expiry = F.coalesce(
         following.cast("timestamp_ntz") - F.expr("interval 1 day"),
-        moment(OPEN_END),
+        moment_of(OPEN_END),
     )
     return joined.select(
         *[F.col(f"p.{c}").alias(c) for c in prices.columns],
@@ -146,6 +147,29 @@ def validity_intervals(
     )
 
 
+def _month_number(column: Column) -> Column:
+    return F.year(column) * 12 + F.month(column)
+
+
+def by_month(
+    intervals: DataFrame, spans: DataFrame, keys: Sequence[str], start: str, end: str
+) -> DataFrame:
+    """One row per interval and calendar month that it touches, numbered as ``_v_month``.
+
+    ``spans`` has the first and last month with events per key (``_first``, ``_last``): intervals
+    are cut to it, so one without an end gives no more rows than its key has months with events
+    between, and keys without events give none. Intervals of one key that follow each other give at
+    most their number plus the number of months. One that ends before it starts gives no row.
+    """
+    cut = intervals.join(spans, list(keys), "inner").withColumns({
+        "_from": F.greatest(_month_number(F.col(start)), F.col("_first")),
+        "_until": F.least(_month_number(F.col(end)), F.col("_last")),
+    })
+    kept = cut.filter((F.col(start) <= F.col(end)) & (F.col("_from") <= F.col("_until")))
+    month = F.explode(F.sequence("_from", "_until")).alias("_v_month")
+    return kept.select(*intervals.columns, month)
+
+
 def valid_at(
     events: DataFrame,
     intervals: DataFrame,
@@ -154,28 +178,43 @@ def valid_at(
     carry: dict[str, str],
     activation: str = "activation_date",
     half_open: bool = False,
+    spans_of: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of the intervals valid at each event's moment.
 
-    ``on`` maps event columns to interval columns: these equalities carry the shuffle and the
-    date range is checked on the matches. The closed form ends at midnight of the expiry date, so
-    a later moment on that day matches nothing; ``half_open`` ends at the next activation instead.
+    ``on`` maps event columns to interval columns. Intervals are spread over the calendar months
+    they touch (see :func:`by_month`) and join on the key and the event's month, so an event meets
+    the intervals of its month only: work per key is its events plus matches, not events times
+    intervals, and a key with very many events is spread over its months. The exact range is checked
+    on the matches. The closed form ends at midnight of the expiry date, so a later moment on that
+    day matches nothing; ``half_open`` ends at the next activation instead. Events with a NULL key
+    or moment match nothing.
+
+    ``spans_of`` may name a cheaper frame than ``events`` that holds at least the same keys and
+    moments; the months with events are read from it.
     """
+    names = {column: f"_v_{column}" for column in on.values()}
+    known = events if spans_of is None else spans_of
+    number = _month_number(F.col(moment))
+    spans = known.groupBy(*[F.col(mine).alias(names[theirs]) for mine, theirs in on.items()]).agg(
+        F.min(number).alias("_first"), F.max(number).alias("_last")
+    )
+    next_start = F.col("next_activation").cast("timestamp_ntz")
+    end = F.coalesce(next_start, moment_of(OPEN_END)) if half_open else F.col("expiry_date")
     right = intervals.select(
-        *[F.col(c).alias(f"_v_{c}") for c in on.values()],
-        F.col(activation).alias("_v_from"),
-        F.col("next_activation").alias("_v_next"),
-        F.col("expiry_date").alias("_v_to"),
+        *[F.col(c).alias(name) for c, name in names.items()],
+        F.col(activation).cast("timestamp_ntz").alias("_v_from"), end.alias("_v_to"),
+        next_start.alias("_v_next"),
         *[F.col(source).alias(name) for name, source in carry.items()],
     )
+    right = by_month(right, spans, list(names.values()), "_v_from", "_v_to")
     at = F.col(moment)
-    test = at >= F.col("_v_from")
+    upper = at <= F.col("_v_to")
     if half_open:
-        test = test & (F.col("_v_next").isNull() | (at < F.col("_v_next")))
-    else:
-        test = test & (at <= F.col("_v_to"))
+        upper = F.col("_v_next").isNull() | (at < F.col("_v_next"))
+    test = (number == F.col("_v_month")) & (at >= F.col("_v_from")) & upper
     for event_column, interval_column in on.items():
-        test = test & (F.col(event_column) == F.col(f"_v_{interval_column}"))
+        test = test & (F.col(event_column) == F.col(names[interval_column]))
     return events.join(right, test, "left").drop(
-        "_v_from", "_v_next", "_v_to", *[f"_v_{c}" for c in on.values()]
+        "_v_from", "_v_to", "_v_next", "_v_month", *names.values()
     )

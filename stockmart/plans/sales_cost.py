@@ -89,11 +89,12 @@ def build(
     )
     sites = tables["invent_dim"].select("invent_dim_id", "data_area_id", "invent_site_id")
     df = df.join(sites, ["invent_dim_id", "data_area_id"], "left")
+    ordered = tables["sales_line"].join(sites, ["invent_dim_id", "data_area_id"], "inner")
     df = valid_at(
         df, price_intervals(tables["invent_item_price"], tables["invent_dim"]),
         {"item_id": "item_id", "invent_site_id": "invent_site_id",
          "data_area_id": "data_area_id"},
-        "created_datetime", {"list_price": "price"}, half_open=half_open,
+        "created_datetime", {"list_price": "price"}, half_open=half_open, spans_of=ordered,
     )
     no_date = moment(NO_DATE)
     out = df.select(

@@ -139,6 +139,47 @@ def test_valid_at_gap_and_half_open(spark):
     assert dict(tuples(half, "id", "p")) == {1: 1, 2: 1, 3: 2, 4: None, 5: None}
 
 
+def test_valid_at_with_hundreds_of_prices_a_key_equals_all_pairs(spark):
+    start = dt.datetime(1995, 1, 1)
+    # Two dims of a site overlap; item 0 has a price every four days, item 1 one every 400 days.
+    prices = spark.createDataFrame(
+        [(f"i{i}", d, n * 10 + i, (start + dt.timedelta(days=n * (4 + 396 * i) + d)).date())
+         for i in range(2) for d in range(2) for n in range(400 if i == 0 else 6)],
+        "item string, dim int, price int, activation_date date")
+    lines = [(n, f"i{n % 3}", start + dt.timedelta(hours=37 * n - 500)) for n in range(1500)]
+    lines += [(1500, None, start), (1501, "i0", None), (1502, "i1", dt.datetime(2040, 2, 3, 4))]
+    events = spark.createDataFrame(lines, "id int, item string, at timestamp_ntz")
+    intervals = asof.validity_intervals(prices, ["item", "dim"])
+    known = intervals.collect()
+    for half in (False, True):
+        out = asof.valid_at(events, intervals, {"item": "item"}, "at", {"p": "price"},
+                            half_open=half)
+        want = []
+        for ident, item, at in lines:
+            met = [r.price for r in known if item is not None and r.item == item and at is not None
+                   and at >= dt.datetime.combine(r.activation_date, dt.time())
+                   and ((r.next_activation is None
+                         or at < dt.datetime.combine(r.next_activation, dt.time()))
+                        if half else at <= r.expiry_date)]
+            want += [(ident, p) for p in met or [None]]
+        assert tuples(out, "id", "p") == sorted(want, key=lambda r: [(v is None, str(v)) for v in r])
+
+
+def test_valid_at_joins_on_key_and_month(spark):
+    prices = spark.createDataFrame([("i", 1, dt.date(2000, 1, 1))],
+                                   "item string, price int, activation_date date")
+    lines = spark.createDataFrame([(1, "i", dt.datetime(2000, 3, 1))],
+                                  "id int, item string, at timestamp_ntz")
+    intervals = asof.validity_intervals(prices, ["item"])
+    empty_days = asof.valid_at(lines.limit(0), intervals, {"item": "item"}, "at", {"p": "price"})
+    assert empty_days.count() == 0
+    out = asof.valid_at(lines, intervals, {"item": "item"}, "at", {"p": "price"})
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    outer = next(line for line in plan.splitlines() if "LeftOuter" in line)
+    assert "_v_month" in outer and "_v_item" in outer
+    assert tuples(out, "id", "p") == [(1, 1)]
+
+
 def test_several_prices_for_one_line_all_match(spark):
     prices = spark.createDataFrame(
         [("s", "d1", 1, dt.date(2000, 1, 1)), ("s", "d2", 2, dt.date(2000, 1, 1))],
