@@ -168,6 +168,7 @@ def build_monthly_summary(
     level: str = "latest",
     archive: FactTable | None = None,
     balances: Balances | None = None,
+    health_until: dt.date | None = None,
 ) -> LoadResult:
     """Monthly summary of one period, merged into the partition of that month.
 
@@ -175,17 +176,21 @@ def build_monthly_summary(
     ``ties`` the one-month definition with its tie handling is used instead; if that yields
     several rows for a merge key, the load stops. With ``balances`` the month is built from its own
     rows and the balances before it. Without them levels need all history: where detail has been
-    moved to ``archive``, its rows are read as well.
+    moved to ``archive``, its rows are read as well. ``health_until`` fills stockout days and
+    product counts; the one-month definition leaves them NULL.
     """
+    if ties is not None and health_until is not None:
+        raise ValueError("the one-month definition has no stockout days and product counts")
     common = {"types": types, "month_column": MONTH}
+    one_row = {**common, "health_until": health_until}
     rows = history(fact, archive)
     if ties is None and balances is not None:
         balances.settle(rows, tables, params)
         opening = balances.before(period)
-        source = summary.build_month(rows, opening, tables, params, period, now, level, **common)
+        source = summary.build_month(rows, opening, tables, params, period, now, level, **one_row)
     elif ties is None:
         source = summary.build_history(
-            rows, tables, params, now, first=period, last=period, level=level, **common
+            rows, tables, params, now, first=period, last=period, level=level, **one_row
         )
     else:
         source = summary.build(rows, tables, params, period, now, ties=ties, **common)

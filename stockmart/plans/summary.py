@@ -13,8 +13,13 @@ from stockmart.functions import kpi
 from stockmart.functions.period import Period, month_start
 from stockmart.functions.scalar import constant, moment, qty, typed_null
 from stockmart.functions.status import INBOUND_MOVEMENTS, OUTBOUND_MOVEMENTS
-from stockmart.operators import dims
-from stockmart.operators.asof import daily_totals, latest_before, latest_on_or_before
+from stockmart.operators import dims, stockout
+from stockmart.operators.asof import (
+    daily_totals,
+    latest_before,
+    latest_on_or_before,
+    running_level,
+)
 from stockmart.operators.text_agg import join_counted
 from stockmart.params import NaParams
 
@@ -86,6 +91,27 @@ def movements(fact: DataFrame, keys: tuple[str, ...], types: str = "counted") ->
 
 MOVED = ("total_inbound_quantity", "total_outbound_quantity", "inbound_transaction_count",
          "outbound_transaction_count", "total_transaction_count")
+# NULL unless a summary is built with ``health_until``.
+HEALTH = ("stockout_days", "product_count")
+ON_HAND = LEVELS[0]
+
+
+def with_health(
+    months: DataFrame, days: DataFrame, params: NaParams, until: dt.date
+) -> DataFrame:
+    """Add days without stock and the number of products of the warehouse to rows of KEYS, _month.
+
+    ``days`` has the summed quantities per key and date since the start of time, or the balance
+    before a month as the quantity of its first day. Stock is the balance on hand. Products are
+    those with activity in the warehouse in that month.
+    """
+    balances = running_level(days, KEYS, DATE, [ON_HAND])
+    found = stockout.spells(balances, KEYS, DATE, ON_HAND, until, params.na_datetime.date())
+    out = stockout.by_month(found, KEYS, "_month").drop("stockout_spells")
+    place = ["company_key", "warehouse_key", "_month"]
+    products = months.groupBy(*place).agg(F.countDistinct("product_key").alias("product_count"))
+    joined = months.join(out, [*KEYS, "_month"], "left").join(products, place, "left")
+    return joined.withColumn("stockout_days", F.coalesce("stockout_days", F.lit(0)))
 
 
 def with_indicators(df: DataFrame, params: NaParams, now: dt.datetime) -> DataFrame:
@@ -116,8 +142,7 @@ def with_indicators(df: DataFrame, params: NaParams, now: dt.datetime) -> DataFr
             eom, outbound, F.dayofmonth(end)
         ),
         "stock_turnover_ratio": kpi.stock_turnover(outbound, average),
-        "stockout_days": typed_null("int"),
-        "product_count": typed_null("int"),
+        **{c: F.col(c).cast("int") if c in df.columns else typed_null("int") for c in HEALTH},
         "ea_process_datetime": stamp,
         "ea_last_update_datetime": typed_null("timestamp_ntz"),
         "is_current_month": F.col("period_start_date") == F.lit(now.date().replace(day=1)),
@@ -200,6 +225,7 @@ def build_history(
     level: str = "latest",
     types: str = "counted",
     month_column: str | None = None,
+    health_until: dt.date | None = None,
 ) -> DataFrame:
     """Summaries of all months with activity in one pass, one row per month and key.
 
@@ -209,7 +235,8 @@ def build_history(
     member; rows of one date are added up. ``level='running'`` carries the balance since the start
     of time instead of the latest date's quantities. ``first`` and ``last`` limit the months
     returned; history before ``first`` still feeds the opening levels. ``month_column`` names a
-    stored yyyymm partition column of the fact, if it has one.
+    stored yyyymm partition column of the fact, if it has one. ``health_until`` fills stockout days,
+    counted up to that day, and product counts (see :func:`with_health`); otherwise both are NULL.
     """
     if level not in ("latest", "running"):
         raise ValueError("level must be 'latest' or 'running'")
@@ -234,6 +261,8 @@ def build_history(
         "_month", F.trunc(DATE, "month")
     )
     moved = movements(wanted, (*KEYS, "_month"), types)
+    if health_until is not None:
+        months = with_health(months, days, params, health_until)
     df = months.join(moved, [*KEYS, "_month"], "left").withColumns({
         "year": F.year("_month"), "month": F.month("_month"), "_end": F.last_day("_month"),
     })
@@ -255,6 +284,20 @@ def month_levels(rows: DataFrame, tables: Mapping[str, DataFrame], params: NaPar
     )
 
 
+def _month_days(rows, opening, months, tables, params, period) -> DataFrame:
+    """Quantities on hand per key and date of one month, with the balance before it on its first
+    day. A balance of undated rows alone stays undated."""
+    days = daily_totals(rows, FACT_KEYS, DATE, [ON_HAND])
+    days = _unknown_for_null(confirm_keys(days, tables), params).select(*KEYS, DATE, ON_HAND)
+    undated = params.datetime().cast("timestamp_ntz")
+    start = moment(dt.datetime.combine(period.start, dt.time()))
+    since = F.when(F.col("level_date") == undated, undated).otherwise(start)
+    before = opening.join(months.select(*KEYS), list(KEYS), "left_semi").select(
+        *KEYS, since.alias(DATE), qty(F.col(f"total_{ON_HAND}")).alias(ON_HAND)
+    )
+    return days.unionByName(before)
+
+
 def build_month(
     fact: DataFrame,
     opening: DataFrame,
@@ -265,6 +308,7 @@ def build_month(
     level: str = "latest",
     types: str = "counted",
     month_column: str | None = None,
+    health_until: dt.date | None = None,
 ) -> DataFrame:
     """The month of :func:`build_history` from its own rows and ``opening``, the balances before it.
 
@@ -287,6 +331,10 @@ def build_month(
     months = months.select(
         *KEYS, *schemas.BOM_LEVELS, *[close(m).alias(f"eom_{m}") for m in LEVELS]
     )
+    if health_until is not None:
+        months = months.withColumn("_month", F.lit(period.start))
+        days = _month_days(rows, opening, months, tables, params, period)
+        months = with_health(months, days, params, min(health_until, period.end))
     moved = movements(_unknown_for_null(confirm_keys(rows, tables), params), KEYS, types)
     df = months.join(moved, list(KEYS), "left").withColumns({
         "year": F.lit(period.year), "month": F.lit(period.month),

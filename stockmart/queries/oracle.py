@@ -424,6 +424,29 @@ CTES = {
               average_physical_stock_quantity + if(product_key % 5 = 2, 1, 0)
                 as average_physical_stock_quantity)
        from history_summary""",
+    "standing": f"""select *, greatest(month_from, out_from) as day_from,
+              least(month_until, out_until) as day_until
+       from (select {K6}, sum(physical_stock_quantity) over w as level,
+                    cast(transaction_date as date) as out_from,
+                    coalesce(cast(lead(transaction_date) over w as date), date '2001-08-16')
+                      as out_until
+             from days
+             window w as (partition by {K6} order by transaction_date)) b
+       join (select distinct month_start as month_from,
+                    cast(month_start + interval 1 month as date) as month_until from days) m
+         on out_from < month_until and out_until > month_from
+       where level <= 0 and out_from <> date '1900-01-01'""",
+    "products": """select company_key, warehouse_key, month_start,
+              count(distinct product_key) as product_count
+       from known group by all""",
+    "history_health": f"""select h.* replace (
+              coalesce(s.stockout_days, 0) as stockout_days, p.product_count as product_count)
+       from history_summary h
+       left join (select {K6}, month_from, cast(sum(day_until - day_from) as bigint) as stockout_days
+                  from standing group by all) s
+         on {_same('s', 'h', KEY6)} and s.month_from = h.period_start_date
+       join products p on p.company_key = h.company_key and p.warehouse_key = h.warehouse_key
+        and p.month_start = h.period_start_date""",
     "period_base": f"""select distinct {', '.join(KEY5)} from stock_fact
        where transaction_date between timestamp '1998-06-01' and timestamp '1998-06-30'""",
     "period_bom": _period_level("bom", "< timestamp '1998-06-01'"),
@@ -717,6 +740,31 @@ select company_key, warehouse_key, {_MONTH.format('transaction_date')} as month,
   {_COUNTED} as transaction_types
 from stock_fact group by all""")
 ORACLE["monthly_summary"] = statement("select * from history_summary", **_SUMMARY)
+ORACLE["monthly_summary_stockouts"] = statement("select * from history_health", **_SUMMARY)
+ORACLE["summary_job_stockouts"] = statement(f"""
+select year, month, {K6}, stockout_days, product_count
+from history_health where year = 1998 and month in (6, 7)""")
+ORACLE["stockout_days"] = statement("""
+select company_key, warehouse_key, month, count(distinct product_key) as products_out,
+  cast(sum(least(month_until, out_until) - greatest(month, out_from)) as bigint) as stockout_days,
+  count(*) filter (where fresh or out_from <= month) as stockout_spells
+from (select *, coalesce(cast(lead(transaction_date) over w as date), date '2001-08-16') as out_until,
+             coalesce(lag(level) over w > 0, true) as fresh
+      from (select company_key, product_key, warehouse_key, transaction_date,
+                   cast(transaction_date as date) as out_from,
+                   sum(moved) over (partition by company_key, product_key, warehouse_key
+                                    order by transaction_date) as level
+            from (select company_key, product_key, warehouse_key, transaction_date,
+                         sum(physical_stock_quantity) as moved
+                  from stock_fact group by all) a) b
+      where out_from <> date '1900-01-01'
+      window w as (partition by company_key, product_key, warehouse_key
+                   order by transaction_date)) r
+join (select month, cast(month + interval 1 month as date) as month_until
+      from (select cast(unnest(generate_series(timestamp '1990-01-01', timestamp '2001-08-01',
+                                               interval 1 month)) as date) as month) g) m
+  on out_from < month_until and out_until > month
+where level <= 0 group by all""", days=["month"])
 ORACLE["monthly_summary_running"] = statement(
     _indicators("running", types="distinct_types"), **_SUMMARY)
 ORACLE["monthly_summary_period"] = statement(_indicators("period_rows"), **_SUMMARY)

@@ -20,7 +20,7 @@ from stockmart.functions.period import Period
 from stockmart.functions import scalar
 from stockmart.functions.scalar import moment
 from stockmart.functions.status import StatusColumns, movement_type
-from stockmart.operators import archive, asof, dims, merge, quality
+from stockmart.operators import archive, asof, dims, merge, quality, stockout
 from stockmart.operators.text_agg import sorted_list
 from stockmart.params import EnumSet, NaParams
 from stockmart.plans import (
@@ -423,6 +423,34 @@ def monthly_summary_period(c: Context) -> DataFrame:
     )
 
 
+@query
+def monthly_summary_stockouts(c: Context) -> DataFrame:
+    """All months with stockout days up to the run date and product counts."""
+    return _without_audit(c.history_summary(health_until=NOW.date()))
+
+
+@query
+def stockout_days(c: Context) -> DataFrame:
+    """Days without stock of the products of every warehouse in every month up to the run date."""
+    keys = ("company_key", "product_key", "warehouse_key")
+    balances = asof.running_level(
+        c.stock_fact(), keys, "transaction_date", ["physical_stock_quantity"]
+    )
+    found = stockout.spells(balances, keys, "transaction_date", "physical_stock_quantity",
+                            NOW.date(), c.params.na_datetime.date())
+    return stockout.by_month(found, keys).groupBy(*WAREHOUSE_KEYS, "month").agg(
+        F.count(F.lit(1)).alias("products_out"),
+        *[F.sum(n).alias(n) for n in ("stockout_days", "stockout_spells")],
+    )
+
+
+@query
+def summary_job_stockouts(c: Context) -> DataFrame:
+    """Stockout days and product counts of two stored months, built from balances."""
+    stored = _stored_summary(c, health_until=NOW.date()).rows()
+    return stored.select("year", "month", *summary.KEYS, *summary.HEALTH)
+
+
 def _tables_of(c: Context, name: str, *makers):
     """New stored tables below the session's folder for a query that runs loads."""
     root = f"{session_dir(c.spark)}/{name}-{uuid.uuid4().hex}"
@@ -444,7 +472,7 @@ def monthly_summary_after_archive(c: Context) -> DataFrame:
     )
 
 
-def _stored_summary(c: Context):
+def _stored_summary(c: Context, **options):
     """June and July 1998 in a stored summary, from balances; June is built twice."""
     target, held = _tables_of(c, "summary", jobs.summary_table, Balances)
     name = hashlib.md5(c.sf_dir.encode()).hexdigest()[:12]
@@ -452,7 +480,8 @@ def _stored_summary(c: Context):
     fact = jobs.stock_level_table(c.spark, f"{session_dir(c.spark)}/{name}/stock_level")
     held.rebuild(rows, c.tables, c.params)
     for period in (PERIOD, Period(1998, 7), PERIOD):
-        jobs.build_monthly_summary(c.tables, c.params, fact, target, period, NOW, balances=held)
+        jobs.build_monthly_summary(c.tables, c.params, fact, target, period, NOW, balances=held,
+                                   **options)
     return target
 
 
