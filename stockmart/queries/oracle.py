@@ -739,6 +739,21 @@ ORACLE["transaction_type_list"] = statement(f"""
 select company_key, warehouse_key, {_MONTH.format('transaction_date')} as month,
   {_COUNTED} as transaction_types
 from stock_fact group by all""")
+ORACLE["transaction_type_list_repeated"] = statement(f"""
+select {', '.join(KEY5)}, {_MONTH.format('transaction_date')} as month,
+  string_agg(transaction_type, ', ' order by transaction_type) as transaction_types
+from stock_fact group by all""")
+ORACLE["dq_dio_order"] = statement(f"""
+select row_number() over (order by eom_physical_stock_quantity desc, {GRAIN}) as place, {GRAIN}
+from history_summary where total_outbound_quantity > 0
+qualify place <= 20""")
+ORACLE["run_outcomes"] = statement("""
+select 'summary' as job, true as worked, count(*) as rows, false as repeated_keys
+from history_summary where year = 1998 and month = 6
+union all
+select 'repeated keys', count(*) = 0, null, count(*) > 0
+from (select invent_trans_origin, status_issue, status_receipt, invoice_id
+      from invent_trans where invoice_id is not null group by all having count(*) > 1) r""")
 ORACLE["monthly_summary"] = statement("select * from history_summary", **_SUMMARY)
 ORACLE["monthly_summary_stockouts"] = statement("select * from history_health", **_SUMMARY)
 ORACLE["summary_job_stockouts"] = statement(f"""

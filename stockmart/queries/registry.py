@@ -33,7 +33,7 @@ from stockmart.plans import (
     summary,
 )
 from stockmart.plans.balances import Balances
-from stockmart.schemas import BALANCE_MONTH, LEVELS
+from stockmart.schemas import BALANCE_MONTH, LEVELS, SUMMARY_KEYS
 from stockmart.session import session_dir
 from stockmart.sources.facts import MONTH, history
 from stockmart.sources.star_views import star_tables
@@ -401,6 +401,16 @@ def transaction_type_list(c: Context) -> DataFrame:
                        "transaction_types")
 
 
+@query
+def transaction_type_list_repeated(c: Context) -> DataFrame:
+    """The list with a label per row, as the one-month definition has it, at the summary's grain."""
+    fact = c.stock_fact().withColumn(
+        "month", F.date_format(F.trunc("transaction_date", "month"), "yyyy-MM")
+    )
+    return sorted_list(fact, [*summary.FACT_KEYS, "month"], "transaction_type",
+                       "transaction_types", form="all")
+
+
 def _without_audit(df: DataFrame) -> DataFrame:
     return df.drop("ea_process_datetime", "ea_last_update_datetime")
 
@@ -634,6 +644,13 @@ def dq_dio_top20(c: Context) -> DataFrame:
     return quality.dio(c.history_summary())
 
 
+@query
+def dq_dio_order(c: Context) -> DataFrame:
+    """The report's rows with the places they come out at; its limit leaves one partition."""
+    place = (F.monotonically_increasing_id() + 1).alias("place")
+    return quality.dio(c.history_summary()).select(place, *quality.GRAIN)
+
+
 @query
 def dq_turnover_top20(c: Context) -> DataFrame:
     return quality.turnover(c.history_summary())
@@ -669,6 +686,25 @@ def dq_run_summary(c: Context) -> DataFrame:
     return quality.run_summary(c.history_summary())
 
 
+@query
+def run_outcomes(c: Context) -> DataFrame:
+    """Reports of a summary run that works and of a merge whose source repeats its keys."""
+    (target,) = _tables_of(c, "outcomes", jobs.summary_table)
+    rows = c.history_summary(first=PERIOD, last=PERIOD)
+    repeated = ["invent_trans_origin", "status_issue", "status_receipt", "invoice_id"]
+    trans = c.tables["invent_trans"]
+    runs = {
+        "summary": lambda: target.merge(rows, list(SUMMARY_KEYS)).rows,
+        "repeated keys": lambda: merge.assert_unique(trans, repeated),
+    }
+    found = [(name, quality.attempt(job)) for name, job in runs.items()]
+    return c.spark.createDataFrame(
+        [(name, run.ok, run.rows, run.error is not None and "not unique" in run.error)
+         for name, run in found],
+        "job string, worked boolean, rows long, repeated_keys boolean",
+    )
+
+
 # The same checks on a summary with defects in every month.
 
 
