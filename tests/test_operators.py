@@ -355,3 +355,17 @@ def test_archive_split(spark):
         [(day(31, 1, 2001),), (day(1, 2, 2001),), (None,), (day(1, 1, 1900),)], "d timestamp_ntz")
     detail, old = archive.split_by_age(rows, "d", today, dt.date(1900, 1, 1))
     assert (detail.count(), old.count()) == (3, 1)
+
+
+@pytest.mark.parametrize("dim", ["dim_product", "dim_inventory_dimension", "dim_warehouse",
+                                 "dim_load", "dim_product_variant", "dim_inventory_color",
+                                 "invent_dim", "invent_table", "invent_table_module"])
+def test_views_that_explode_are_not_broadcast(star, dim):
+    rows, company = star["invent_trans"], star["dim_company"]
+    right = star[dim].select(F.col(star[dim].columns[0]).alias("_code"))
+    joined = rows.join(right, rows["data_area_id"] == right["_code"], "left").join(
+        company, F.col("data_area_id") == F.col("company_code"), "left"
+    )
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1
+    assert plan.count("BroadcastHashJoin") == 1  # the company, whose size Spark knows
