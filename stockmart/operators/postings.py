@@ -19,15 +19,14 @@ def by_role(trans: DataFrame, postings: DataFrame, role: str, carry: dict[str, s
     """Left join of the postings of one role; ``carry`` maps output names to posting columns.
 
     The role filter runs on the posting scan. Several postings for a voucher multiply the
-    transaction, as the join says.
+    transaction, as the join says. Carried columns that are join keys as well are shuffled once.
     """
     posting_type, voucher, date = ROLES[role]
+    keys = {"data_area_id": "_p_company", "invent_trans_origin": "_p_origin",
+            "voucher": "_p_voucher", "trans_date": "_p_date"}
     right = postings.filter(F.col("posting_type") == posting_type).select(
-        F.col("data_area_id").alias("_p_company"),
-        F.col("invent_trans_origin").alias("_p_origin"),
-        F.col("voucher").alias("_p_voucher"),
-        F.col("trans_date").alias("_p_date"),
-        *[F.col(source).alias(name) for name, source in carry.items()],
+        *[F.col(source).alias(name) for source, name in keys.items()],
+        *[F.col(source).alias(name) for name, source in carry.items() if source not in keys],
     )
     on = (
         (F.col("data_area_id") == F.col("_p_company"))
@@ -35,7 +34,9 @@ def by_role(trans: DataFrame, postings: DataFrame, role: str, carry: dict[str, s
         & (F.col(voucher) == F.col("_p_voucher"))
         & (F.col(date) == F.col("_p_date"))
     )
-    return trans.join(right, on, "left").drop("_p_company", "_p_origin", "_p_voucher", "_p_date")
+    return trans.join(right, on, "left").select(
+        *trans.columns, *[F.col(keys.get(source, name)).alias(name) for name, source in carry.items()]
+    )
 
 
 def with_postings(trans: DataFrame, postings: DataFrame) -> DataFrame:

@@ -51,6 +51,28 @@ def test_confirm_key_turns_missing_keys_into_null(spark):
 # Postings --------------------------------------------------------------------------------------
 
 
+def test_a_carried_join_key_is_shuffled_once(spark):
+    trans = spark.createDataFrame(
+        [("C1", 1, "V1", day(1)), ("C1", 1, "V2", day(1)), (None, 2, "V1", day(1))],
+        "data_area_id string, invent_trans_origin long, voucher_physical string,"
+        " date_physical timestamp_ntz",
+    )
+    posted = spark.createDataFrame(
+        [(0, "C1", 1, "V1", day(1), 7), (0, "C1", 1, "V1", day(1), 8), (1, "C1", 1, "V2", day(1), 9)],
+        "posting_type int, data_area_id string, invent_trans_origin long, voucher string,"
+        " trans_date timestamp_ntz, default_dimension long",
+    )
+    out = postings.by_role(trans, posted, "physical", {"number": "voucher", "dim": "default_dimension"})
+    assert out.columns == [*trans.columns, "number", "dim"]
+    assert tuples(out, "data_area_id", "voucher_physical", "number", "dim") == [
+        ("C1", "V1", "V1", 7), ("C1", "V1", "V1", 8), ("C1", "V2", None, None),
+        (None, "V1", None, None),
+    ]
+    joined = out._jdf.queryExecution().optimizedPlan().children().head()
+    right = joined.children().last().output()
+    assert right.size() == 5  # the four join keys and the dimension
+
+
 def test_posting_roles_and_choice(spark):
     trans = spark.createDataFrame(
         [(1, "c", 10, "p1", "f1"), (2, "c", 10, "p2", "f2"), (3, "c", 10, "p3", "f3"),
