@@ -381,8 +381,9 @@ def test_archive_split(spark):
 
 @pytest.mark.parametrize("dim", ["dim_product", "dim_inventory_dimension", "dim_warehouse",
                                  "dim_load", "dim_product_variant", "dim_inventory_color",
-                                 "invent_dim", "invent_table", "invent_table_module"])
-def test_views_that_explode_are_not_broadcast(star, dim):
+                                 "invent_dim", "invent_table", "invent_table_module",
+                                 "invent_trans_origin", "dimension_value_combination"])
+def test_large_views_are_not_broadcast(star, dim):
     rows, company = star["invent_trans"], star["dim_company"]
     right = star[dim].select(F.col(star[dim].columns[0]).alias("_code"))
     joined = rows.join(right, rows["data_area_id"] == right["_code"], "left").join(
