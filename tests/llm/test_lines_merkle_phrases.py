@@ -234,3 +234,18 @@ def test_tries_hold_what_they_are_given():
                 if (lang, " ".join(words[s : s + k])) in known:
                     want[known[lang, " ".join(words[s : s + k])]] += 1
     assert np.array_equal(trie.count(tokens, len(phrases)), [want[i] for i in range(len(phrases))])
+
+
+def test_phrase_counts_are_handed_over_once_per_core(spark):
+    phrases = ["alpha beta", "beta gamma", "alpha beta gamma"]
+    trie = collocations.Trie(["en"] * len(phrases), phrases)
+    cores = spark.sparkContext.defaultParallelism
+    texts = spark.range(0, 400, 1, 10 * cores).selectExpr("'en' as lang", "'alpha beta gamma' as text")
+    shared = spark.sparkContext.broadcast({0: (trie, len(phrases))})
+    rows = collocations.walked(texts, shared).collect()
+    shared.destroy()
+    assert len(rows) <= len(phrases) * cores
+    found = Counter()
+    for row in rows:
+        found[row.shard, row.id] += row.n
+    assert found == {(0, i): 400 for i in range(len(phrases))}
