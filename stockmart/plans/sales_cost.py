@@ -15,6 +15,7 @@ from stockmart.operators.merge import update_only
 from stockmart.params import EnumSet
 from stockmart.plans.enrich import stock_transactions
 from stockmart.sources.tables import live
+from stockmart.steps import Steps
 
 # Issue status counted as reserved, sales type of a return order, no-date marker.
 RESERVED_ISSUE_ID = 4
@@ -31,6 +32,10 @@ def price_intervals(prices: DataFrame, invent_dim: DataFrame) -> DataFrame:
     return intervals.join(sites, ["invent_dim_id", "data_area_id"], "inner")
 
 
+TOTALLED = ("invent_trans_id", "data_area_id", "status_issue", "cost_amount_posted",
+            "cost_amount_physical", "qty", "invoice_id", "packing_slip_id", "date_status")
+
+
 def transaction_totals(trans: DataFrame) -> DataFrame:
     """Sums per inventory transaction id and company."""
     reserved = F.col("status_issue") == RESERVED_ISSUE_ID
@@ -68,14 +73,20 @@ def build(
     incremental_load: bool = False,
     half_open: bool = False,
     strict: bool = False,
+    step: Steps | None = None,
 ) -> DataFrame:
     """One row per sales line and matching price with the values to refresh.
 
     ``strict`` raises when delivered transactions sum to zero quantity; otherwise the cost price of
-    such a line is NULL. ``half_open`` closes the one-day gap between price intervals.
+    such a line is NULL. ``half_open`` closes the one-day gap between price intervals. With ``step``
+    the transactions and their totals are stored steps.
     """
-    trans = stock_transactions(tables, enums, execution_id, incremental_load)
+    trans = stock_transactions(
+        tables, enums, execution_id, incremental_load, columns=TOTALLED, step=step
+    )
     totals = transaction_totals(trans)
+    if step is not None:
+        totals = step(totals)
     lines = tables["sales_line"].select(
         "invent_trans_id", "data_area_id", "sales_type", "cost_price", "line_amount",
         "invent_dim_id", "item_id", "created_datetime",

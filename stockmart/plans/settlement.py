@@ -14,6 +14,8 @@ from stockmart.operators import dims
 from stockmart.operators.postings import by_role
 from stockmart.params import EnumSet, NaParams
 from stockmart.plans.inventory_value import (
+    CODES,
+    READ,
     SETTLEMENT_RECORD,
     category_key,
     finish,
@@ -21,6 +23,12 @@ from stockmart.plans.inventory_value import (
     value_lookups,
 )
 from stockmart.sources.tables import incremental, live
+from stockmart.steps import Steps
+
+
+# Columns of a transaction that the joins and the date expected need.
+JOINED = ("rec_id", "data_area_id", "invent_trans_origin", "voucher", "date_financial", "date_expected",
+          "marking_ref_invent_trans_origin", "return_invent_trans_origin")
 
 
 def _left(df: DataFrame, right: DataFrame, columns: dict[str, str], carry: dict[str, str],
@@ -41,15 +49,21 @@ def adjustments(
     enums: EnumSet,
     execution_id: str | None = None,
     incremental_load: bool = False,
+    step: Steps | None = None,
 ) -> DataFrame:
     """Settled transactions with their adjustment rows, origin and item unit.
 
     Settlements valued at physical cost and the dummy record 0 are left out. The joins to the
     financial posting and to the marking and return origins, whose columns no fact reads, repeat
-    rows where their keys repeat.
+    rows where their keys repeat. With ``step`` the joins are stored steps.
     """
+    def held(df: DataFrame) -> DataFrame:
+        return df if step is None else step(df)
+
     status = StatusColumns(enums)
-    trans = live(tables["invent_trans"]).filter(is_settled(status))
+    trans = live(tables["invent_trans"]).filter(is_settled(status)).select(
+        *[c for c in tables["invent_trans"].columns if c in (*READ, *CODES, *JOINED)]
+    )
     settled = incremental(tables["invent_settlement"], execution_id, incremental_load)
     settled = settled.filter(
         (F.col("settle_model") != F.lit(enums.id("InventSettleModel", "PhysicalValue")))
@@ -70,17 +84,18 @@ def adjustments(
          "invent_trans_id": "invent_trans_id"},
         how="inner",
     )
-    df = by_role(df, tables["invent_trans_posting"], "financial",
-                 {"ledger_dimension_financial": "ledger_dimension"})
+    df = by_role(held(df), tables["invent_trans_posting"], "financial",
+                 {"ledger_dimension_financial": "ledger_dimension"}).drop("voucher", "date_financial")
     for column in ("marking_ref_invent_trans_origin", "return_invent_trans_origin"):
         df = _left(df, tables["invent_trans_origin"],
                    {column: "rec_id", "data_area_id": "data_area_id"}, {})
-    df = _left(df, tables["dimension_value_combination"],
+    df = _left(held(df.drop("marking_ref_invent_trans_origin", "return_invent_trans_origin")),
+               tables["dimension_value_combination"],
                {"ledger_dimension_financial": "rec_id"}, {"ledger_dimension_id": "rec_id"})
     # The item master is compared on both keys with the module rows, hence an inner join.
     df = _left(df, tables["invent_table"],
                {"item_id": "item_id", "data_area_id": "data_area_id"}, {}, how="inner")
-    df = _left(df, tables["dimension_value_set"],
+    df = _left(held(df), tables["dimension_value_set"],
                {"settlement_dimension": "rec_id"}, {"default_dimension_id": "rec_id"})
     module = tables["invent_table_module"].filter(F.col("module_type") == 0)
     return _left(df, module, {"item_id": "item_id", "data_area_id": "data_area_id"},
@@ -93,24 +108,29 @@ def build(
     enums: EnumSet,
     execution_id: str | None = None,
     incremental_load: bool = False,
+    step: Steps | None = None,
 ) -> DataFrame:
     """Rows of the settlement fact, without its surrogate key and audit columns.
 
-    An adjustment moves cost only: its quantity is NULL and so is every quantity bucket.
+    An adjustment moves cost only: its quantity is NULL and so is every quantity bucket. Labels
+    follow the lookups, as codes are shorter to shuffle. With ``step`` the joins are stored steps.
     """
-    df = adjustments(tables, enums, execution_id, incremental_load)
-    df = df.withColumns({
+    df = adjustments(tables, enums, execution_id, incremental_load, step).withColumns({
+        "company_code": F.col("data_area_id"),
+        "voucher_number": F.col("settlement_voucher"),
+    })
+    lookups = value_lookups(params, "settlement_date", "voucher_number")
+    keyed = dims.resolve_keys(
+        df, tables, lookups, params,
+        [*READ, "settlement_id", "adjustment", "voucher_number", "module_unit", "date_expected"], step,
+    ).withColumns({
         **labels(enums),
         "record_type": constant(SETTLEMENT_RECORD, "int"),
         "record_id": F.col("settlement_id"),
-        "company_code": F.col("data_area_id"),
         "posting_type": F.lit("Adjustment"),
-        "voucher_number": F.col("settlement_voucher"),
         "category_hierarchy_key": category_key(tables, params),
+        "inventory_unit": F.col("module_unit"),
     })
-    lookups = value_lookups(params, "settlement_date", "voucher_number")
-    keyed = dims.resolve_keys(df, tables, lookups, params)
-    keyed = keyed.withColumn("inventory_unit", F.col("module_unit"))
     out = finish(keyed, enums, params, typed_null("decimal(18,4)"), F.col("adjustment"))
     return schemas.conform(
         out, schemas.FACT_SETTLEMENT,
